@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizerModel, Normalizer
-from pyspark.ml.functions import vector_to_array
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +18,10 @@ from reviewloom.functions import text
 WIDTH = 384
 MODEL_BATCH = 64
 
+# Rows split into tokens at a time, and tokens whose dimension a task remembers.
+_HASH_ROWS = 2_048
+_KNOWN_TOKENS = 1 << 20
+
 # Called once per task; returns a function from a list of texts to as many vectors.
 ModelFactory = Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]]
 
@@ -47,35 +51,69 @@ def hashed_embeddings(
     width: int = WIDTH,
     unit: bool = False,
 ) -> DataFrame:
-    """Token counts hashed into ``width`` dimensions, without a model or Python workers.
+    """Token counts hashed into ``width`` dimensions; no model needed.
 
     A token is a run of ASCII letters and digits of the lower-cased text; its dimension
-    is the first 32 bits of its MD5 modulo ``width``. The counting is a vectorizer over
-    the fixed vocabulary of dimension numbers, so each row is done where it lies and
-    nothing is exploded or shuffled. The vectors are lexical: they do not stand in for a
-    sentence model. ``unit`` divides by the length, which cosine search does anyway;
-    counts are whole numbers and their products exact.
+    is the first 32 bits of its MD5 modulo ``width``. Each row is done where it lies:
+    nothing is exploded or shuffled. Arrow splits the texts and numbers the distinct
+    tokens of a batch, so that only those are hashed; built-in functions hash every token
+    and took twice as long. The vectors are lexical: they do not stand in for a sentence
+    model. ``unit`` divides by the length, which
+    cosine search does anyway; counts are whole numbers and their products exact.
     """
-    tokens = F.filter(
-        F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "[^a-z0-9]+"),
-        lambda token: token != F.lit(""),
-    )
-    dims = F.transform(
-        tokens,
-        lambda token: (
-            F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint") % width
-        ).cast("string"),
-    )
-    counter = CountVectorizerModel.from_vocabulary(
-        [str(i) for i in range(width)], inputCol="__dims", outputCol="__counts", minTF=1.0
-    )
-    counted = counter.transform(df.withColumn("__dims", dims))
-    vector = "__counts"
-    if unit:
-        counted = Normalizer(p=2.0, inputCol="__counts", outputCol="__unit").transform(counted)
-        vector = "__unit"
-    kept = [F.col(c) for c in df.columns if c != out_col]
-    return counted.select(*kept, vector_to_array(vector, "float32").alias(out_col))
+
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        dimensions = _Dimensions(width)
+        for texts in batches:
+            parts = [
+                _count_tokens(texts[at:at + _HASH_ROWS], dimensions)
+                for at in range(0, len(texts), _HASH_ROWS)
+            ]
+            matrix = np.concatenate(parts) if parts else np.zeros((0, width))
+            if unit:
+                lengths = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+                matrix = np.divide(matrix, lengths, out=matrix, where=lengths > 0)
+            yield list_array(matrix)
+
+    lowered = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+    return df.withColumn(out_col, count(lowered))
+
+
+class _Dimensions(dict):
+    """Token -> dimension, hashing each token once; the empty token is in none."""
+
+    def __init__(self, width: int) -> None:
+        self.width = width
+
+    def __missing__(self, token: str) -> int:
+        if len(self) > _KNOWN_TOKENS:
+            self.clear()
+        digest = hashlib.md5(token.encode(), usedforsecurity=False).digest()
+        self[token] = int.from_bytes(digest[:4], "big") % self.width if token else -1
+        return self[token]
+
+
+def _count_tokens(texts: pa.Array, dimensions: _Dimensions) -> np.ndarray:
+    """Token counts, one row per text and one column per dimension."""
+    width = dimensions.width
+    tokens = pc.split_pattern_regex(texts, "[^a-z0-9]+")
+    numbered = tokens.flatten().dictionary_encode()
+    distinct = numbered.dictionary.to_numpy(zero_copy_only=False)
+    dims = np.fromiter(map(dimensions.__getitem__, distinct), np.int64, len(distinct))
+    dim = dims[numbered.indices.to_numpy()]
+    row = np.repeat(np.arange(len(texts)), pc.list_value_length(tokens).to_numpy())
+    cell = (row * width + dim)[dim >= 0]
+    counts = np.bincount(cell, minlength=len(texts) * width)
+    return counts.reshape(len(texts), width).astype(np.float64)
+
+
+def list_array(matrix: np.ndarray) -> pa.Array:
+    """A matrix as a column of float lists."""
+    rows, width = matrix.shape
+    offsets = np.arange(rows + 1, dtype=np.int32) * width
+    return pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32()), pa.array(matrix.ravel(), pa.float32(), safe=False))
 
 
 def dimension_rows(embedded: DataFrame, key: str, column: str = "embedding") -> DataFrame:
@@ -91,25 +129,19 @@ def embed_with(
     batch_size: int = MODEL_BATCH,
 ) -> DataFrame:
     """Vectors from a caller's model, loaded once per task and fed ``batch_size`` texts."""
-    kept = [c for c in df.columns if c != out_col]
-    source = df.select(*kept)
-    schema = T.StructType(
-        [*source.schema.fields, T.StructField(out_col, T.ArrayType(T.FloatType()))]
-    )
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = factory()
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
+            texts = batch.to_pylist()
             rows: list[np.ndarray] = []
             for start in range(0, len(texts), batch_size):
                 part = texts[start:start + batch_size]
-                got = [np.asarray(v, dtype=np.float32) for v in model(part)]
+                got = [np.asarray(vector, dtype=np.float32) for vector in model(part)]
                 if len(got) != len(part):
                     raise ValueError(f"model returned {len(got)} vectors for {len(part)} texts")
                 rows += got
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(rows, pa.list_(pa.float32()))], [*kept, out_col]
-            )
+            yield pa.array(rows, pa.list_(pa.float32()))
 
-    return source.mapInArrow(encode, schema)
+    return df.withColumn(out_col, encode(F.coalesce(F.col(text_col), F.lit(""))))

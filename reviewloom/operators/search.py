@@ -141,17 +141,12 @@ class Cells:
 def assign_cells(vectors: DataFrame, cells: Cells) -> DataFrame:
     """Add the ``cell`` column. Written with ``partition_by=["cell"]``, a search reads only
     the folders of the cells it probes."""
-    kept = [c for c in vectors.columns if c != "cell"]
-    source = vectors.select(*kept)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            matrix = _matrix(batch.column("embedding"), cells.width)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cells.of(matrix), pa.int32())], [*kept, "cell"])
+    @F.arrow_udf(T.IntegerType())
+    def cell(embeddings: pa.Array) -> pa.Array:
+        return pa.array(cells.of(_matrix(embeddings, cells.width)), pa.int32())
 
-    return source.mapInArrow(add, T.StructType(
-        [*source.schema.fields, T.StructField("cell", T.IntegerType())]))
+    return vectors.withColumn("cell", cell("embedding"))
 
 
 def lsh_topk(
