@@ -100,8 +100,10 @@ def _ranked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(valid questions, their ranked reviews)."""
     valid, _ = _questions(spark, sf_dir)
     vectors = _written_vectors(spark, sf_dir)
-    hits = search.search_questions(vectors, valid, _embed_questions, search.TOP_K)
-    return valid, prompts.with_reviews(hits, vectors)
+    path = f"{_scratch(spark)}/hits"
+    tables.write_table(
+        search.search_questions(vectors, valid, _embed_questions, search.TOP_K), path)
+    return valid, prompts.with_reviews(tables.read_table(spark, path), vectors)
 
 
 def _model():

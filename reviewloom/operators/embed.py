@@ -117,8 +117,13 @@ def list_array(matrix: np.ndarray) -> pa.Array:
 
 
 def dimension_rows(embedded: DataFrame, key: str, column: str = "embedding") -> DataFrame:
-    """The non-zero elements of each vector as (key, dim, weight)."""
-    return embedded.select(key, F.posexplode(column).alias("dim", "weight")).filter("weight <> 0")
+    """The non-zero elements of each vector as (key, dim, weight).
+
+    The outer form, because for the plain one Spark adds a filter on the array's size and
+    with it a second evaluation of the function that makes the array.
+    """
+    elements = F.posexplode_outer(column).alias("dim", "weight")
+    return embedded.select(key, elements).filter("weight <> 0")
 
 
 def embed_with(
@@ -128,7 +133,10 @@ def embed_with(
     out_col: str = "embedding",
     batch_size: int = MODEL_BATCH,
 ) -> DataFrame:
-    """Vectors from a caller's model, loaded once per task and fed ``batch_size`` texts."""
+    """Vectors from a caller's model, loaded once per task and fed ``batch_size`` texts.
+
+    Marked as not deterministic, so that no optimizer rule runs the model twice for a row.
+    """
 
     @F.arrow_udf(T.ArrayType(T.FloatType()))
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -144,4 +152,5 @@ def embed_with(
                 rows += got
             yield pa.array(rows, pa.list_(pa.float32()))
 
-    return df.withColumn(out_col, encode(F.coalesce(F.col(text_col), F.lit(""))))
+    model_text = F.coalesce(F.col(text_col), F.lit(""))
+    return df.withColumn(out_col, encode.asNondeterministic()(model_text))

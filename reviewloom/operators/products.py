@@ -45,7 +45,6 @@ CLEAN_COLUMNS = [
     "product_id", "title", "description", "category", "price", "brand",
     "avg_rating", "review_count", "ingestion_ts",
 ]
-_REQUIRED = ["product_id", "title", "description"]
 _OPTIONAL = ["category", "price", "brand", "avg_rating", "review_count"]
 
 
@@ -122,7 +121,10 @@ def clean_products(
     its rows is complete, and the shuffle carries complete rows only. ``normalise_key``
     lower-cases and trims the id as review product ids are, so that the two tables join.
     """
-    mapped = map_products(raw, missing).dropna(subset=_REQUIRED)
+    mapped = map_products(raw, missing).filter(
+        F.col("product_id").isNotNull() & F.col("title").isNotNull()
+        & F.col("description").isNotNull()
+    )
     if normalise_key:
         mapped = mapped.withColumn("product_id", lenient.label(F.col("product_id")))
     tidy = mapped.select(

@@ -58,6 +58,11 @@ def clean_reviews(
     if missing:
         raise ValueError(f"raw reviews lack columns for: {', '.join(missing)}")
 
+    # Trimming makes no nulls. On the raw columns these filters reach the scan, which they
+    # do not on trimmed ones or as dropna.
+    for needed in ("review_text", "product_name", "rating_raw"):
+        df = df.filter(F.col(needed).isNotNull())
+
     extra = [c for c in dict.fromkeys([*tie_break, *([id_col] if id_col else [])])]
     rating = lenient.to_int(F.col("rating_raw"), types["rating_raw"])
     typed = df.select(
@@ -71,7 +76,7 @@ def clean_reviews(
         lenient.parse_date(F.col("review_date_raw"), types["review_date_raw"]).alias("review_date"),
         *[F.col(f"`{c}`").alias(f"__extra_{i}") for i, c in enumerate(extra)],
     )
-    kept = typed.dropna(subset=["review_text", "rating", "product_id"])
+    kept = typed.filter(F.col("rating").isNotNull())
     keyed = kept.withColumn(_ID, text.content_id(F.col("product_id"), F.col("review_text")))
     order = [f"__extra_{extra.index(c)}" for c in tie_break] + [
         "rating", "review_title", "product_variant", "is_verified", "helpful_votes", "review_date",

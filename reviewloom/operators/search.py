@@ -40,7 +40,7 @@ LOCAL_ROWS = 16_384
 LOCAL_BYTES = 64 << 20
 # Rows per block of a join of blocks.
 VECTOR_BLOCK_ROWS = 32_768
-QUESTION_BLOCK_ROWS = 4_096
+QUESTION_BLOCK_ROWS = 16_384
 # Elements of one similarity matrix.
 _TILE = 1 << 22
 
@@ -281,8 +281,11 @@ def _matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
 
 def _norms(matrix: np.ndarray) -> np.ndarray:
     """Lengths in double precision; 0 where no similarity is defined."""
-    wide = matrix.astype(np.float64)
-    norms = np.sqrt((wide * wide).sum(axis=1))
+    norms = np.empty(len(matrix))
+    step = max(1, _TILE // matrix.shape[1])
+    for start in range(0, len(matrix), step):
+        part = matrix[start:start + step].astype(np.float64)
+        norms[start:start + step] = np.sqrt((part * part).sum(axis=1))
     return np.where(np.isfinite(norms), norms, 0.0)
 
 

@@ -1,0 +1,233 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from reviewloom.functions import vectors as vector_functions
+from reviewloom.operators import search
+
+
+def brute_force(vectors, questions, k):
+    """(question, rank, id, similarity) by comparing everything with everything."""
+    out = []
+    for qid, q in questions:
+        scored = []
+        for vid, v in vectors:
+            a = np.asarray(v if v is not None else np.zeros(len(q)), np.float32).astype(float)
+            b = np.asarray(q, np.float32).astype(float)
+            norms = np.sqrt((a * a).sum()) * np.sqrt((b * b).sum())
+            scored.append(((a * b).sum() / norms if norms > 0 else None, vid))
+        scored.sort(key=lambda s: (s[0] is None, -(s[0] or 0), s[1]))
+        out += [(qid, rank + 1, vid, sim) for rank, (sim, vid) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def same(got, expected):
+    assert [r[:3] for r in got] == [r[:3] for r in expected]
+    for (*_, a), (*_, b) in zip(got, expected):
+        assert (a is None) == (b is None) and (a is None or a == pytest.approx(b, abs=1e-12))
+
+
+def frames(spark, vectors, questions, id_type="bigint"):
+    v = spark.createDataFrame(vectors, f"review_id {id_type}, embedding array<float>")
+    q = spark.createDataFrame(questions, "question_id bigint, embedding array<float>")
+    return v, q
+
+
+def random_vectors(n, width, seed):
+    return np.random.default_rng(seed).normal(size=(n, width)).astype(np.float32).tolist()
+
+
+BOTH_WAYS = pytest.mark.parametrize("limits", [{}, {"local_rows": 0}, {"local_bytes": 1}])
+
+
+@BOTH_WAYS
+def test_exact_against_brute_force(spark, limits, monkeypatch):
+    monkeypatch.setattr(search, "VECTOR_BLOCK_ROWS", 60)
+    monkeypatch.setattr(search, "QUESTION_BLOCK_ROWS", 7)
+    vectors = list(enumerate(random_vectors(300, 16, 1)))
+    questions = list(enumerate(random_vectors(20, 16, 2)))
+    v, q = frames(spark, vectors, questions)
+    got = search.cosine_topk(v.repartition(5), q, 5, **limits)
+    assert got.columns == ["question_id", "rank", "review_id", "similarity"]
+    same(rows(got), brute_force(vectors, questions, 5))
+
+
+@BOTH_WAYS
+def test_ties_zero_vectors_and_few_rows(spark, limits):
+    one, two, zero = [1.0, 0.0], [1.0, 1.0], [0.0, 0.0]
+    vectors = [("b", one), ("a", one), ("c", zero), ("d", None), ("e", two), ("f", zero)]
+    questions = [(1, one), (2, zero), (3, two)]
+    v, q = frames(spark, vectors, questions, "string")
+    same(rows(search.cosine_topk(v, q, 5, **limits)), brute_force(vectors, questions, 5))
+    same(rows(search.cosine_topk(v, q, 9, **limits)), brute_force(vectors, questions, 9))
+
+
+@BOTH_WAYS
+def test_a_third_of_all_rows_are_copies(spark, limits):
+    hot = random_vectors(1, 8, 3)[0]
+    vectors = [(i, hot if i % 3 == 0 else v) for i, v in enumerate(random_vectors(3000, 8, 4))]
+    questions = [(0, hot), (1, random_vectors(1, 8, 5)[0]), (2, [0.0] * 8), (3, hot)]
+    v, q = frames(spark, vectors, questions)
+    same(rows(search.cosine_topk(v.coalesce(1), q, 4, **limits)), brute_force(vectors, questions, 4))
+
+
+def test_the_result_does_not_depend_on_partitioning(spark):
+    vectors = list(enumerate(random_vectors(500, 24, 6)))
+    v, q = frames(spark, vectors, list(enumerate(random_vectors(9, 24, 7))))
+    results = [rows(search.cosine_topk(d, q, 5)) for d in (v.coalesce(1), v.repartition(11))]
+    assert results[0] == results[1]
+
+
+def test_top_k_is_a_prefix_of_top_k_plus_one(spark):
+    v, q = frames(spark, list(enumerate(random_vectors(90, 6, 8))),
+                  list(enumerate(random_vectors(6, 6, 9))))
+    more = [r for r in rows(search.cosine_topk(v, q, 4)) if r[1] <= 3]
+    assert rows(search.cosine_topk(v, q, 3)) == more
+
+
+@BOTH_WAYS
+def test_no_questions_and_no_vectors(spark, limits):
+    v, q = frames(spark, [(1, [1.0, 0.0])], [(1, [1.0, 0.0])])
+    assert rows(search.cosine_topk(v, q.limit(0), 5, **limits)) == []
+    assert rows(search.cosine_topk(v.limit(0), q, 5, **limits)) == []
+
+
+def test_widths_must_agree(spark):
+    v, q = frames(spark, [(1, [1.0, 0.0])], [(1, [1.0, 0.0, 0.0])])
+    with pytest.raises(Exception, match="widths"):
+        search.cosine_topk(v, q, 5).collect()
+
+
+def test_plan_has_no_pairs_and_limits_before_the_shuffle(spark, folder):
+    v, q = frames(spark, list(enumerate(random_vectors(9, 4, 1))), [(0, [1.0, 0.0, 0.0, 0.0])])
+    v.withColumn("document", F.lit("x")).write.parquet(folder + "/v")
+    stored = spark.read.parquet(folder + "/v")
+    plan = search.cosine_topk(stored, q)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert plan.count("Exchange") == 1 and plan.count("WindowGroupLimit") == 2
+    assert "document" not in plan
+    blocks = search.cosine_topk(stored, q, local_rows=0)._jdf.queryExecution().executedPlan()
+    assert "NestedLoop" not in blocks.toString() and "Cartesian" not in blocks.toString()
+
+
+def test_cosine_column(spark):
+    df = spark.createDataFrame(
+        [([1.0, 2.0], [2.0, 1.0]), ([0.0, 0.0], [1.0, 1.0]), ([3.0, 0.0], [2.0, 0.0])],
+        "a array<float>, b array<float>")
+    got = [r[0] for r in df.select(vector_functions.cosine(F.col("a"), F.col("b"))).collect()]
+    assert got[0] == pytest.approx(0.8) and got[1] is None and got[2] == pytest.approx(1.0)
+
+
+# --- cells -----------------------------------------------------------------------------
+
+
+def test_cells_are_signs_of_projections():
+    cells = search.Cells(bits=3, width=5, seed=7)
+    matrix = np.array(random_vectors(40, 5, 1), np.float32)
+    assert set(np.unique(cells.planes())) == {-1.0, 1.0}
+    signs = cells.project(matrix) >= 0
+    assert [int(sum(1 << b for b in range(3) if s[b])) for s in signs] == cells.of(matrix).tolist()
+    probes = cells.probes(matrix, 4)
+    assert (probes[:, 0] == cells.of(matrix)).all()
+    for projected, row in zip(cells.project(matrix), probes):
+        order = [int(row[0] ^ c).bit_length() - 1 for c in row[1:]]
+        assert sorted(order, key=lambda b: abs(projected[b])) == order and len(set(row)) == 4
+    assert (search.Cells(3, 5, 8).planes() != cells.planes()).any()
+    with pytest.raises(ValueError):
+        search.Cells(bits=0, width=5)
+
+
+@BOTH_WAYS
+def test_lsh_scores_everything_in_the_probed_cells(spark, limits, folder):
+    cells = search.Cells(bits=4, width=12)
+    vectors = list(enumerate(random_vectors(400, 12, 11)))
+    questions = list(enumerate(random_vectors(15, 12, 12)))
+    v, q = frames(spark, vectors, questions)
+    search.assign_cells(v, cells).write.partitionBy("cell").parquet(folder + "/v")
+    stored = spark.read.parquet(folder + "/v")
+    got = rows(search.lsh_topk(stored, q, cells, 5, probes=3, **limits))
+    cell_of = cells.of(np.array([v for _, v in vectors], np.float32))
+    probed = cells.probes(np.array([v for _, v in questions], np.float32), 3)
+    expected = []
+    for (qid, vector), row in zip(questions, probed):
+        near = [vectors[i] for i in range(len(vectors)) if cell_of[i] in row]
+        expected += brute_force(near, [(qid, vector)], 5)
+    same(got, sorted(expected))
+
+
+def test_lsh_with_all_probes_of_one_bit_is_exact(spark):
+    cells = search.Cells(bits=1, width=6)
+    v, q = frames(spark, list(enumerate(random_vectors(80, 6, 13))),
+                  list(enumerate(random_vectors(5, 6, 14))))
+    assert rows(search.lsh_topk(search.assign_cells(v, cells), q, cells, 5, probes=2)) == rows(
+        search.cosine_topk(v, q, 5))
+    with pytest.raises(ValueError):
+        search.lsh_topk(search.assign_cells(v, cells), q, cells, 5, probes=3)
+
+
+def test_lsh_reads_only_the_probed_folders(spark, folder):
+    cells = search.Cells(bits=4, width=6)
+    v, q = frames(spark, list(enumerate(random_vectors(200, 6, 15))), [(0, random_vectors(1, 6, 16)[0])])
+    search.assign_cells(v, cells).write.partitionBy("cell").parquet(folder + "/v")
+    hits = search.lsh_topk(spark.read.parquet(folder + "/v"), q, cells, 5, probes=2)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [cell" in plan.replace("isnotnull(cell", "cell")
+
+
+# --- scoring in a task, without Spark --------------------------------------------------
+
+small = st.integers(-2, 2)
+vector = st.lists(small, min_size=3, max_size=3)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(vector, min_size=1, max_size=40), st.lists(vector, min_size=1, max_size=6),
+       st.integers(1, 6), st.integers(1, 15))
+def test_best_equals_brute_force_for_any_batches(vectors, questions, k, batch):
+    asked_matrix = np.array(questions, np.float32)
+    asked = search.Questions(pa.array(range(len(questions))), asked_matrix,
+                             np.zeros((len(questions), 1), np.int32))
+    best = search.Best(asked, k)
+    ids = np.random.default_rng(len(vectors)).permutation(len(vectors))
+    for start in range(0, len(vectors), batch):
+        part = vectors[start:start + batch]
+        best.add(pa.array(ids[start:start + batch]),
+                 pa.array([[float(x) for x in v] for v in part], pa.list_(pa.float32())),
+                 pa.array(np.zeros(len(part), np.int32)))
+    got = {}
+    for b in best.batches():
+        for qid, vid, sim in zip(*(c.to_pylist() for c in b.columns)):
+            got.setdefault(qid, []).append((sim, vid))
+    expected = brute_force(list(zip(ids.tolist(), vectors)), list(enumerate(questions)), k)
+    listed = sorted(
+        (qid, rank + 1, vid, sim) for qid, hits in got.items()
+        for rank, (sim, vid) in enumerate(hits))
+    # Scaled copies tie in theory and differ in the last digit; compare similarities.
+    assert len(listed) == len(expected)
+    for a, b in zip(listed, expected):
+        assert a[:2] == b[:2] and (a[3] is None) == (b[3] is None)
+        assert a[3] is None or a[3] == pytest.approx(b[3], abs=1e-12)
+
+
+def test_lowest_of_equals():
+    matrix = np.array([[1, 0], [2, 0], [1, 0], [1, -0.0], [2, 0], [3, 0]], np.float32)
+    assert search._lowest_of_equals(matrix, 2).tolist() == [0, 1, 2, 4, 5]
+    assert search._lowest_of_equals(matrix, 1).tolist() == [0, 1, 5]
+
+
+def test_split_questions(spark):
+    df = spark.createDataFrame(
+        [(0, "good sound?"), (1, ""), (2, "   "), (3, "\t\n"), (4, None), (5, " "), (6, " x ")],
+        "question_id bigint, question string")
+    valid, rejected = search.split_questions(df)
+    assert rows(valid) == [(0, "good sound?"), (6, " x ")]
+    assert [(r["question_id"], r["reason"]) for r in rejected.orderBy("question_id").collect()] == [
+        (1, "question is empty"), (2, "question is empty"), (3, "question is empty"),
+        (4, "question is null"), (5, "question is empty")]
