@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -21,6 +22,9 @@ MODEL_BATCH = 64
 # Rows split into tokens at a time, and tokens whose dimension a task remembers.
 _HASH_ROWS = 2_048
 _KNOWN_TOKENS = 1 << 20
+_TOKEN_BYTES = bytes(
+    byte if chr(byte) in string.ascii_lowercase + string.digits else 0x20 for byte in range(256)
+)
 
 # Called once per task; returns a function from a list of texts to as many vectors.
 ModelFactory = Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]]
@@ -57,7 +61,7 @@ def hashed_embeddings(
     is the first 32 bits of its MD5 modulo ``width``. Each row is done where it lies:
     nothing is exploded or shuffled. Arrow splits the texts and numbers the distinct
     tokens of a batch, so that only those are hashed; built-in functions hash every token
-    and took twice as long. The vectors are lexical: they do not stand in for a sentence
+    and took several times as long (README, "Measured"). The vectors are lexical: they do not stand in for a sentence
     model. ``unit`` divides by the length, which
     cosine search does anyway; counts are whole numbers and their products exact.
     """
@@ -70,11 +74,9 @@ def hashed_embeddings(
                 _count_tokens(texts[at:at + _HASH_ROWS], dimensions)
                 for at in range(0, len(texts), _HASH_ROWS)
             ]
-            matrix = np.concatenate(parts) if parts else np.zeros((0, width))
             if unit:
-                lengths = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-                matrix = np.divide(matrix, lengths, out=matrix, where=lengths > 0)
-            yield list_array(matrix)
+                parts = [_unit(part) for part in parts]
+            yield list_array(np.concatenate(parts) if parts else np.zeros((0, width), np.float32))
 
     lowered = F.lower(F.coalesce(F.col(text_col), F.lit("")))
     return df.withColumn(out_col, count(lowered))
@@ -86,34 +88,50 @@ class _Dimensions(dict):
     def __init__(self, width: int) -> None:
         self.width = width
 
-    def __missing__(self, token: str) -> int:
+    def __missing__(self, token: bytes) -> int:
         if len(self) > _KNOWN_TOKENS:
             self.clear()
-        digest = hashlib.md5(token.encode(), usedforsecurity=False).digest()
+        digest = hashlib.md5(token, usedforsecurity=False).digest()
         self[token] = int.from_bytes(digest[:4], "big") % self.width if token else -1
         return self[token]
 
 
+def _blank_out(texts: pa.Array) -> pa.Array:
+    """The texts with every byte that is in no token made a space, all in one pass."""
+    texts = texts.cast(pa.string())
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    kept = bytes(memoryview(data)[ends[0]:ends[-1]] if data else b"").translate(_TOKEN_BYTES)
+    return pa.StringArray.from_buffers(
+        len(texts), pa.py_buffer(ends - ends[0]), pa.py_buffer(kept))
+
+
 def _count_tokens(texts: pa.Array, dimensions: _Dimensions) -> np.ndarray:
     """Token counts, one row per text and one column per dimension."""
     width = dimensions.width
-    tokens = pc.split_pattern_regex(texts, "[^a-z0-9]+")
+    tokens = pc.ascii_split_whitespace(_blank_out(texts))
     numbered = tokens.flatten().dictionary_encode()
-    distinct = numbered.dictionary.to_numpy(zero_copy_only=False)
+    distinct = numbered.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
     dims = np.fromiter(map(dimensions.__getitem__, distinct), np.int64, len(distinct))
     dim = dims[numbered.indices.to_numpy()]
     row = np.repeat(np.arange(len(texts)), pc.list_value_length(tokens).to_numpy())
     cell = (row * width + dim)[dim >= 0]
     counts = np.bincount(cell, minlength=len(texts) * width)
-    return counts.reshape(len(texts), width).astype(np.float64)
+    return counts.reshape(len(texts), width).astype(np.float32)
+
+
+def _unit(counts: np.ndarray) -> np.ndarray:
+    wide = counts.astype(np.float64)
+    lengths = np.sqrt((wide * wide).sum(axis=1, keepdims=True))
+    return np.divide(wide, lengths, out=wide, where=lengths > 0).astype(np.float32)
 
 
 def list_array(matrix: np.ndarray) -> pa.Array:
-    """A matrix as a column of float lists."""
+    """A float32 matrix as a column of float lists."""
     rows, width = matrix.shape
     offsets = np.arange(rows + 1, dtype=np.int32) * width
     return pa.ListArray.from_arrays(
-        pa.array(offsets, pa.int32()), pa.array(matrix.ravel(), pa.float32(), safe=False))
+        pa.array(offsets, pa.int32()), pa.array(matrix.ravel(), pa.float32()))
 
 
 def dimension_rows(embedded: DataFrame, key: str, column: str = "embedding") -> DataFrame:
