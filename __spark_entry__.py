@@ -6,6 +6,8 @@ product), every part a product, every user turn of a conversation a question.
 
 from __future__ import annotations
 
+import os
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -13,7 +15,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.functions import lenient
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from reviewloom.functions import lenient  # noqa: E402
+from reviewloom.functions import vectors as vector_functions
 from reviewloom.operators import (
     answers, embed, gates, products, prompts, reviews, search, stats,
 )
@@ -313,6 +318,16 @@ def knn_top2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_self_search(spark, sf_dir, search.CHECK_K))
 
 
+def cosine_of_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The similarity of every hit once more, by the column function."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    asked = vectors.select(F.col("vec_id").alias("question_id"), F.col("embedding").alias("q"))
+    hits = _self_search(spark, sf_dir, search.CHECK_K).drop("similarity")
+    pairs = hits.join(vectors, "vec_id").join(asked, "question_id")
+    cosine = vector_functions.cosine(F.col("embedding"), F.col("q"))
+    return pairs.select("question_id", "rank", "vec_id", F.round(cosine, 6).alias("similarity"))
+
+
 def knn_top5_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_self_search(spark, sf_dir, search.TOP_K, local_rows=0))
 
@@ -392,7 +407,7 @@ _QUERIES = [
     rating_distribution, product_frequency, preview, products_clean, products_first_column,
     products_mapped, products_normalised_key, products_balance, avg_rating_distribution,
     lenient_numbers, lenient_dates, embed_text, hashed_vectors, embed_with, vector_rows,
-    knn_top5, knn_top2, knn_top5_blocks, knn_lsh, knn_lsh_blocks, questions_valid,
+    knn_top5, knn_top2, cosine_of_hits, knn_top5_blocks, knn_lsh, knn_lsh_blocks, questions_valid,
     questions_rejected, search_questions, prompts_built, answers_generated, ask_records,
     hit_records, gate_report, unmatched_ids,
 ]
@@ -679,6 +694,7 @@ SELECT review_id, coalesce(review_text, '') AS document, product_id, coalesce(ra
 FROM reviews LEFT JOIN sums USING (review_id)""",
         "knn_top5": knn + _best(5),
         "knn_top2": knn + _best(2),
+        "cosine_of_hits": knn + _best(2),
         "knn_top5_blocks": knn + _best(5),
         "knn_lsh": _LSH,
         "knn_lsh_blocks": _LSH,

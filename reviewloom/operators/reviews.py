@@ -63,7 +63,9 @@ def clean_reviews(
     for needed in ("review_text", "product_name", "rating_raw"):
         df = df.filter(F.col(needed).isNotNull())
 
-    extra = [c for c in dict.fromkeys([*tie_break, *([id_col] if id_col else [])])]
+    tie_break = [RAW_TO_STANDARD.get(c, c) for c in tie_break]
+    id_col = RAW_TO_STANDARD.get(id_col, id_col)
+    extra = list(dict.fromkeys([*tie_break, *([id_col] if id_col else [])]))
     rating = lenient.to_int(F.col("rating_raw"), types["rating_raw"])
     typed = df.select(
         lenient.label(F.col("product_name")).alias("product_id"),

@@ -1,9 +1,10 @@
 """Top-k reviews by cosine similarity for a whole table of questions.
 
 Every question has to be compared with every vector, or in the approximate form with
-every vector of the cells it probes. No pair is ever emitted as a row. The pairs are
-scored in blocks by matrix products inside tasks, and a task hands on only its own best
-k per question; a window over those few rows makes the final ranking.
+every vector of the cells it probes. Pairs are scored by matrix products inside tasks, and of
+each Arrow batch only the best k per question become rows. A window with a rank limit,
+which Spark applies in every task before its shuffle and once more after it, makes the
+final ranking.
 
 There are two ways to bring the blocks together, with equal results:
 
@@ -19,8 +20,8 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +99,10 @@ def search_questions(
 # --- cells: the approximate form -------------------------------------------------------
 
 
+def _md5(name: str) -> bytes:
+    return hashlib.md5(name.encode(), usedforsecurity=False).digest()
+
+
 @dataclass(frozen=True)
 class Cells:
     """Locality-sensitive cells: the signs of a vector's projections on ``bits`` planes.
@@ -109,22 +114,20 @@ class Cells:
     bits: int
     width: int
     seed: int = 0
+    planes: np.ndarray = field(init=False, repr=False, compare=False)
 
     def __post_init__(self) -> None:
         if not 1 <= self.bits <= 16:
             raise ValueError("bits must lie between 1 and 16")
-
-    def planes(self) -> np.ndarray:
-        signs = [
-            1.0 if hashlib.md5(f"{self.seed}:{bit}:{dim}".encode()).hexdigest()[0] < "8" else -1.0
-            for bit in range(self.bits) for dim in range(self.width)
-        ]
-        return np.array(signs).reshape(self.bits, self.width)
+        names = (f"{self.seed}:{bit}:{dim}" for bit in range(self.bits) for dim in range(self.width))
+        low = [_md5(name)[0] < 0x80 for name in names]
+        planes = np.where(low, 1.0, -1.0).reshape(self.bits, self.width)
+        object.__setattr__(self, "planes", planes)
 
     def project(self, matrix: np.ndarray) -> np.ndarray:
         if matrix.shape[1] != self.width:
             raise ValueError(f"vectors are {matrix.shape[1]} wide, cells are for {self.width}")
-        return np.nan_to_num(matrix.astype(np.float64)) @ self.planes().T
+        return np.nan_to_num(matrix.astype(np.float64)) @ self.planes.T
 
     def of(self, matrix: np.ndarray) -> np.ndarray:
         weights = 1 << np.arange(self.bits)
@@ -176,8 +179,11 @@ def lsh_topk(
 
 
 def _search(v, q, k, id_col, probe, local_rows, local_bytes, width=None, pruned=False):
-    few = q.limit(local_rows + 1).toArrow()
-    if few.num_rows <= local_rows and few.nbytes <= local_bytes:
+    # One row tells how many fit, so that not even the check brings more to the driver.
+    row_bytes = max(1, q.limit(1).toArrow().nbytes)
+    most = min(local_rows, local_bytes // row_bytes)
+    few = q.limit(most + 1).toArrow()
+    if few.num_rows <= most:
         hits = _with_the_tasks(v, few.combine_chunks(), q.schema, k, probe, width, pruned)
     else:
         hits = _by_blocks(v, q, k, probe, width, pruned)
@@ -197,10 +203,8 @@ def _with_the_tasks(v, few: pa.Table, q_schema, k, probe, width, pruned) -> Data
         v = v.filter(F.col("cell").isin([int(c) for c in np.unique(asked.cells)]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Best(asked, k)
         for batch in batches:
-            best.add(batch.column("id"), batch.column("embedding"), batch.column("cell"))
-        yield from best.batches()
+            yield from _score(asked, k, *(batch.column(c) for c in ("id", "embedding", "cell")))
 
     return v.mapInArrow(score, _hit_schema(v.schema, q_schema))
 
@@ -233,7 +237,6 @@ def _by_blocks(v, q, k, probe, width, pruned) -> DataFrame:
         .withColumn("cell", F.explode("cells")).drop("cells")
         .withColumn("v_block", every_v_block)
     )
-    names = ["question_id", "id", "similarity"]
     schema = _hit_schema(v.schema, q.schema)
     types = pa.schema([("question_id", _arrow_type(q, "question_id")),
                        ("id", _arrow_type(v, "id")), ("similarity", pa.float64())])
@@ -243,10 +246,9 @@ def _by_blocks(v, q, k, probe, width, pruned) -> DataFrame:
             return types.empty_table()
         matrix = _matrix(_column(other, "embedding"), width)
         asked = Questions(_column(other, "question_id"), matrix, np.zeros((len(matrix), 1), np.int32))
-        best = Best(asked, k)
-        zero = pa.array(np.zeros(one.num_rows, np.int32))
-        best.add(_column(one, "id"), _column(one, "embedding"), zero)
-        return pa.Table.from_batches(list(best.batches()), types).select(names)
+        same_cell = pa.array(np.zeros(one.num_rows, np.int32))
+        scored = _score(asked, k, _column(one, "id"), _column(one, "embedding"), same_cell)
+        return pa.Table.from_batches(scored, types)
 
     keys = ["cell", "v_block", "q_block"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, schema)
@@ -305,108 +307,66 @@ class Questions:
         self.by_cell = {int(c): np.nonzero((cells == c).any(axis=1))[0] for c in np.unique(cells)}
 
 
-class Best:
-    """The best k vectors per question among those added so far."""
-
-    def __init__(self, asked: Questions, k: int) -> None:
-        self.asked, self.k = asked, k
-        self.parts: list[pa.Table] = []
-        self.rows = 0
-
-    def add(self, ids: pa.Array, embeddings: pa.Array, cells: pa.Array) -> None:
-        if not len(ids) or not len(self.asked.ids):
-            return
-        order = pc.sort_indices(ids)
-        ids, cells = ids.take(order), np.asarray(cells.take(order))
-        matrix = _matrix(embeddings.take(order), self.asked.matrix.shape[1])
-        norms = _norms(matrix)
-        for cell in np.unique(cells):
-            questions = self.asked.by_cell.get(int(cell))
-            if questions is not None:
-                rows = np.nonzero(cells == cell)[0]
-                self._score(ids, matrix, norms, rows, questions)
-
-    def _score(self, ids, matrix, norms, rows, questions) -> None:
-        # Rows come in id order. Vectors without a similarity all tie behind the rest.
-        empty = rows[norms[rows] == 0]
-        rows = rows[norms[rows] > 0]
-        lowest = np.sort(np.concatenate([rows[:self.k], empty[:self.k]]))[:self.k]
-        undefined = self.asked.norms[questions] == 0
-        self._keep_unscored(ids, lowest, questions[undefined])
-        questions = questions[~undefined]
-        if len(rows) < self.k:
-            self._keep_unscored(ids, empty[:self.k], questions)
-        if not len(rows):
-            return
-
+def _score(
+    asked: Questions, k: int, ids: pa.Array, embeddings: pa.Array, cells: pa.Array
+) -> Iterator[pa.RecordBatch]:
+    """Hits of some vectors: for each question at least the best k of each cell it probes."""
+    if not len(ids) or not len(asked.ids):
+        return
+    order = pc.sort_indices(ids)
+    ids, cells = ids.take(order), np.asarray(cells.take(order))
+    matrix = _matrix(embeddings.take(order), asked.matrix.shape[1])
+    norms = _norms(matrix)
+    for cell in np.unique(cells):
+        questions = asked.by_cell.get(int(cell), [])
+        rows = np.nonzero(cells == cell)[0]
         units = _units(matrix[rows], norms[rows])
         collapsed = False
         step = max(1, _TILE // len(rows))
         for start in range(0, len(questions), step):
             tile = questions[start:start + step]
-            found, asked = self._near(units, tile)
-            if len(found) > 16 * self.k * len(tile) and not collapsed:
+            near = _near(units, norms[rows], asked, tile, k)
+            if len(near[0]) > 16 * k * len(tile) and not collapsed:
                 # Many equal vectors: of each only the k lowest ids can be among the best.
-                keep = _lowest_of_equals(matrix[rows], self.k)
+                keep = _lowest_of_equals(matrix[rows], k)
                 rows, units, collapsed = rows[keep], units[keep], True
-                found, asked = self._near(units, tile)
-            r, q = rows[found], tile[asked]
-            self._keep(ids, r, q, self._similarity(matrix, norms, r, q))
-
-    def _near(self, units: np.ndarray, tile: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs that can be among the best k of these rows, up to single precision."""
-        scores = units @ self.asked.units[tile].T
-        if len(units) <= self.k:
-            return tuple(a.ravel() for a in np.indices(scores.shape))
-        at = len(units) - self.k
-        least = np.partition(scores, at, axis=0)[at]
-        slack = np.float32(4 * (units.shape[1] + 8) * np.finfo(np.float32).eps)
-        return np.nonzero(scores >= least - slack)
-
-    def _similarity(self, matrix, norms, rows, questions) -> np.ndarray:
-        """Similarities in double precision, each the same sum wherever its row lies."""
-        out = np.empty(len(rows))
-        step = max(1, _TILE // matrix.shape[1])
-        for start in range(0, len(rows), step):
-            r, q = rows[start:start + step], questions[start:start + step]
-            products = matrix[r].astype(np.float64) * self.asked.matrix[q]
-            out[start:start + step] = products.sum(axis=1) / (norms[r] * self.asked.norms[q])
-        return out
-
-    def _keep_unscored(self, ids: pa.Array, rows, questions) -> None:
-        if len(rows) and len(questions):
-            self._keep(ids, np.tile(rows, len(questions)), np.repeat(questions, len(rows)),
-                       np.full(len(rows) * len(questions), np.nan))
-
-    def _keep(self, ids: pa.Array, rows, questions, similarity) -> None:
-        self.parts.append(pa.table({
-            "q": pa.array(questions, pa.int64()),
-            "id": ids.take(pa.array(rows, pa.int64())),
-            "similarity": pa.array(similarity, pa.float64(), from_pandas=True),
-        }))
-        self.rows += len(rows)
-        if self.rows > max(1 << 20, 8 * self.k * len(self.asked.ids)):
-            self._compact()
-
-    def _compact(self) -> None:
-        if not self.parts:
-            return
-        table = pa.concat_tables(self.parts).sort_by(
-            [("q", "ascending"), ("similarity", "descending"), ("id", "ascending")])
-        q = table.column("q").to_numpy()
-        rank = np.arange(len(q)) - np.searchsorted(q, q, side="left")
-        self.parts = [table.filter(pa.array(rank < self.k))]
-        self.rows = self.parts[0].num_rows
-
-    def batches(self) -> Iterable[pa.RecordBatch]:
-        self._compact()
-        for table in self.parts:
-            out = pa.table({
-                "question_id": self.asked.ids.take(table.column("q").combine_chunks()),
-                "id": table.column("id"),
-                "similarity": table.column("similarity"),
-            })
-            yield from out.to_batches(max_chunksize=10_000)
+                near = _near(units, norms[rows], asked, tile, k)
+            r, q = rows[near[0]], tile[near[1]]
+            similarity = _similarity(matrix, norms, r, asked, q)
+            yield pa.RecordBatch.from_arrays(
+                [asked.ids.take(pa.array(q)), ids.take(pa.array(r)),
+                 pa.array(similarity, pa.float64(), from_pandas=True)],
+                ["question_id", "id", "similarity"])
+
+
+def _near(units, norms, asked: Questions, tile, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, position in tile) of the pairs that can be among the best k per question.
+
+    Single precision and a slack that covers its error. Where no similarity is defined the
+    score is below all others and falls with the row, because rows come in id order.
+    """
+    scores = units @ asked.units[tile].T
+    undefined = (norms == 0)[:, None] | (asked.norms[tile] == 0)[None, :]
+    if undefined.any():
+        scores = np.where(undefined, np.float32(-2) - np.arange(len(units))[:, None], scores)
+    at = max(0, len(units) - k)
+    least = np.partition(scores, at, axis=0)[at]
+    slack = 4 * (units.shape[1] + 8) * np.finfo(np.float32).eps
+    return np.nonzero(scores >= least - np.float32(slack))
+
+
+def _similarity(matrix, norms, rows, asked: Questions, questions) -> np.ndarray:
+    """Similarities in double precision, each the same sum wherever its row lies; NaN if
+    there is none."""
+    out = np.full(len(rows), np.nan)
+    step = max(1, _TILE // matrix.shape[1])
+    for start in range(0, len(rows), step):
+        at = slice(start, start + step)
+        r, q = rows[at], questions[at]
+        products = matrix[r].astype(np.float64) * asked.matrix[q]
+        lengths = norms[r] * asked.norms[q]
+        np.divide(products.sum(axis=1), lengths, out=out[at], where=lengths > 0)
+    return out
 
 
 def _lowest_of_equals(matrix: np.ndarray, k: int) -> np.ndarray:
