@@ -11,15 +11,15 @@ There are two ways to bring the blocks together, with equal results:
 * Few questions (a checked number of rows and bytes): they travel with the task and the
   vectors are scored where they are read. The vectors are not shuffled, so no key of
   theirs can be hot.
-* More questions: both sides are cut into blocks by a hash of their ids and block pairs
-  are joined on the block numbers. Block sizes follow from row counts, so a cell that
-  holds a third of all vectors is many blocks.
+* More questions: both sides of every cell are cut into blocks by a hash of their ids, and
+  each block meets the other side's blocks of its cell through a join on the block
+  numbers. Each cell has as many blocks as its own row counts ask for, so a cell that
+  holds a third of all vectors is many blocks, and only such cells send rows twice.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -42,6 +42,9 @@ LOCAL_BYTES = 64 << 20
 # Rows per block of a join of blocks.
 VECTOR_BLOCK_ROWS = 32_768
 QUESTION_BLOCK_ROWS = 16_384
+SHARES = 16
+# Bits of a cell number, so at most 4,096 cells.
+MOST_BITS = 12
 # Elements of one similarity matrix.
 _TILE = 1 << 22
 
@@ -84,8 +87,7 @@ def cosine_topk(
     """
     v = vectors.select(F.col(id_col).alias("id"), "embedding", F.lit(0).alias("cell"))
     q = questions.select("question_id", "embedding")
-    return _search(v, q, k, id_col, lambda m: np.zeros((len(m), 1), np.int32),
-                   local_rows, local_bytes)
+    return _search(v, q, k, id_col, None, local_rows, local_bytes)
 
 
 def search_questions(
@@ -117,8 +119,8 @@ class Cells:
     planes: np.ndarray = field(init=False, repr=False, compare=False)
 
     def __post_init__(self) -> None:
-        if not 1 <= self.bits <= 16:
-            raise ValueError("bits must lie between 1 and 16")
+        if not 1 <= self.bits <= MOST_BITS:
+            raise ValueError(f"bits must lie between 1 and {MOST_BITS}")
         names = (f"{self.seed}:{bit}:{dim}" for bit in range(self.bits) for dim in range(self.width))
         low = [_md5(name)[0] < 0x80 for name in names]
         planes = np.where(low, 1.0, -1.0).reshape(self.bits, self.width)
@@ -172,21 +174,21 @@ def lsh_topk(
     v = vectors.select(F.col(id_col).alias("id"), "embedding", F.col("cell").cast("int").alias("cell"))
     q = questions.select("question_id", "embedding")
     return _search(v, q, k, id_col, lambda m: cells.probes(m, probes), local_rows, local_bytes,
-                   width=cells.width, pruned=True)
+                   width=cells.width)
 
 
 # --- the two ways ----------------------------------------------------------------------
 
 
-def _search(v, q, k, id_col, probe, local_rows, local_bytes, width=None, pruned=False):
+def _search(v, q, k, id_col, probe, local_rows, local_bytes, width=None):
     # One row tells how many fit, so that not even the check brings more to the driver.
     row_bytes = max(1, q.limit(1).toArrow().nbytes)
     most = min(local_rows, local_bytes // row_bytes)
     few = q.limit(most + 1).toArrow()
     if few.num_rows <= most:
-        hits = _with_the_tasks(v, few.combine_chunks(), q.schema, k, probe, width, pruned)
+        hits = _with_the_tasks(v, few.combine_chunks(), q.schema, k, probe, width)
     else:
-        hits = _by_blocks(v, q, k, probe, width, pruned)
+        hits = _by_blocks(v, q, k, probe, width)
     return rank_hits(hits.withColumnRenamed("id", id_col), k, id_col)
 
 
@@ -195,11 +197,13 @@ def _hit_schema(v_schema, q_schema) -> str:
             f"id {v_schema['id'].dataType.simpleString()}, similarity double")
 
 
-def _with_the_tasks(v, few: pa.Table, q_schema, k, probe, width, pruned) -> DataFrame:
+def _with_the_tasks(v, few: pa.Table, q_schema, k, probe, width) -> DataFrame:
     ids = _column(few, "question_id")
     matrix = _matrix(_column(few, "embedding"), width)
-    asked = Questions(ids, matrix, probe(matrix) if len(matrix) else np.zeros((0, 1), np.int32))
-    if pruned:
+    if probe is None or not len(matrix):
+        asked = Questions(ids, matrix)
+    else:
+        asked = Questions(ids, matrix, probe(matrix))
         v = v.filter(F.col("cell").isin([int(c) for c in np.unique(asked.cells)]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,10 +213,7 @@ def _with_the_tasks(v, few: pa.Table, q_schema, k, probe, width, pruned) -> Data
     return v.mapInArrow(score, _hit_schema(v.schema, q_schema))
 
 
-def _by_blocks(v, q, k, probe, width, pruned) -> DataFrame:
-    v_blocks = max(1, math.ceil(v.count() / VECTOR_BLOCK_ROWS))
-    q_blocks = max(1, math.ceil(q.count() / QUESTION_BLOCK_ROWS))
-
+def _by_blocks(v, q, k, probe, width) -> DataFrame:
     def add_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = probe(_matrix(batch.column("embedding"), width))
@@ -220,22 +221,42 @@ def _by_blocks(v, q, k, probe, width, pruned) -> DataFrame:
                 [*batch.columns, pa.array(list(found), pa.list_(pa.int32()))],
                 ["question_id", "embedding", "cells"])
 
-    def block(key: Column, blocks: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-    every_q_block = F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))
-    every_v_block = F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1)))
-    probing = q.mapInArrow(add_cells, T.StructType([
-        *q.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))]))
-    if pruned:
-        # At most 2 ** bits cell numbers, 65,536 with the most bits allowed.
-        probed = probing.select(F.explode("cells").alias("cell")).distinct()
-        v = v.join(F.broadcast(probed), "cell", "left_semi")
-    left = v.withColumn("v_block", block(F.col("id"), v_blocks)).withColumn("q_block", every_q_block)
+    if probe is None:
+        # All questions probe all vectors; shares of them by hash take the part of cells.
+        v = v.withColumn("cell", F.pmod(F.hash("id"), F.lit(SHARES)))
+        probing = q.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    else:
+        probing = q.mapInArrow(add_cells, T.StructType([
+            *q.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))]))
+        probing = probing.withColumn("cell", F.explode("cells")).drop("cells")
+
+    def blocks(df: DataFrame, rows: int, name: str) -> DataFrame:
+        count = F.count(F.lit(1))
+        return df.groupBy("cell").agg(F.ceil(count / rows).cast("int").alias(name))
+
+    # One row per cell that has both: at most 2 ** MOST_BITS, so it can be broadcast. Cells
+    # that no question probes end here.
+    sizes = F.broadcast(
+        blocks(v, VECTOR_BLOCK_ROWS, "v_blocks").join(
+            blocks(probing, QUESTION_BLOCK_ROWS, "q_blocks"), "cell"))
+
+    def block(key: str, count: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.col(count)).cast("int")
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    left = (
+        v.join(sizes, "cell")
+        .withColumn("v_block", block("id", "v_blocks"))
+        .withColumn("q_block", every("q_blocks"))
+        .drop("v_blocks", "q_blocks")
+    )
     right = (
-        probing.withColumn("q_block", block(F.col("question_id"), q_blocks))
-        .withColumn("cell", F.explode("cells")).drop("cells")
-        .withColumn("v_block", every_v_block)
+        probing.join(sizes, "cell")
+        .withColumn("q_block", block("question_id", "q_blocks"))
+        .withColumn("v_block", every("v_blocks"))
+        .drop("v_blocks", "q_blocks")
     )
     schema = _hit_schema(v.schema, q.schema)
     types = pa.schema([("question_id", _arrow_type(q, "question_id")),
@@ -244,8 +265,8 @@ def _by_blocks(v, q, k, probe, width, pruned) -> DataFrame:
     def score(one: pa.Table, other: pa.Table) -> pa.Table:
         if not one.num_rows or not other.num_rows:
             return types.empty_table()
-        matrix = _matrix(_column(other, "embedding"), width)
-        asked = Questions(_column(other, "question_id"), matrix, np.zeros((len(matrix), 1), np.int32))
+        asked = Questions(
+            _column(other, "question_id"), _matrix(_column(other, "embedding"), width))
         same_cell = pa.array(np.zeros(one.num_rows, np.int32))
         scored = _score(asked, k, _column(one, "id"), _column(one, "embedding"), same_cell)
         return pa.Table.from_batches(scored, types)
@@ -298,9 +319,10 @@ def _units(matrix: np.ndarray, norms: np.ndarray) -> np.ndarray:
 
 
 class Questions:
-    """Question vectors, grouped by the cells they probe."""
+    """Question vectors, grouped by the cells they probe; without any, all probe cell 0."""
 
-    def __init__(self, ids: pa.Array, matrix: np.ndarray, cells: np.ndarray) -> None:
+    def __init__(self, ids: pa.Array, matrix: np.ndarray, cells: np.ndarray | None = None) -> None:
+        cells = np.zeros((len(matrix), 1), np.int32) if cells is None else cells
         self.ids, self.matrix, self.cells = ids, matrix, cells
         self.norms = _norms(matrix)
         self.units = _units(matrix, self.norms)

@@ -191,8 +191,7 @@ vector = st.lists(small, min_size=3, max_size=3)
 @given(st.lists(vector, min_size=1, max_size=60), st.lists(vector, min_size=1, max_size=6),
        st.integers(1, 6))
 def test_scores_hold_the_best_k_of_every_batch(vectors, questions, k):
-    asked = search.Questions(pa.array(range(len(questions))), np.array(questions, np.float32),
-                             np.zeros((len(questions), 1), np.int32))
+    asked = search.Questions(pa.array(range(len(questions))), np.array(questions, np.float32))
     ids = np.random.default_rng(len(vectors)).permutation(len(vectors))
     batches = search._score(
         asked, k, pa.array(ids),
@@ -215,8 +214,7 @@ def test_scores_hold_the_best_k_of_every_batch(vectors, questions, k):
 
 def test_few_hits_of_many_equal_vectors():
     hot = [1.0, 2.0, 3.0]
-    asked = search.Questions(pa.array(range(50)), np.array([hot] * 49 + [[0.0] * 3], np.float32),
-                             np.zeros((50, 1), np.int32))
+    asked = search.Questions(pa.array(range(50)), np.array([hot] * 49 + [[0.0] * 3], np.float32))
     matrix = [hot] * 4000 + [[0.0] * 3] * 4000 + random_vectors(2000, 3, 1)
     batches = search._score(asked, 5, pa.array(range(10_000)),
                             pa.array(matrix, pa.list_(pa.float32())),
