@@ -115,15 +115,20 @@ def _model():
     """A factory for a stand-in for a sentence model: hashed counts, token by token."""
 
     def load():
+        import functools
         import hashlib
         import re
 
+        @functools.lru_cache(maxsize=1 << 20)
+        def dimension(token: str) -> int:
+            return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % 384
+
         def encode(texts: list[str]) -> list[list[float]]:
             vectors = []
             for text in texts:
                 vector = [0.0] * 384
                 for token in re.findall("[a-z0-9]+", text.lower()):
-                    vector[int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % 384] += 1.0
+                    vector[dimension(token)] += 1.0
                 vectors.append(vector)
             return vectors
 

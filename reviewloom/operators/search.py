@@ -86,7 +86,7 @@ def cosine_topk(
     ``embedding``. Runs one small job to measure the questions.
     """
     v = vectors.select(F.col(id_col).alias("id"), "embedding", F.lit(0).alias("cell"))
-    q = questions.select("question_id", "embedding")
+    q = questions.select("question_id", F.col("embedding").alias("asked"))
     return _search(v, q, k, id_col, None, local_rows, local_bytes)
 
 
@@ -172,7 +172,7 @@ def lsh_topk(
     if not 1 <= probes <= cells.bits + 1:
         raise ValueError("probes must lie between 1 and bits + 1")
     v = vectors.select(F.col(id_col).alias("id"), "embedding", F.col("cell").cast("int").alias("cell"))
-    q = questions.select("question_id", "embedding")
+    q = questions.select("question_id", F.col("embedding").alias("asked"))
     return _search(v, q, k, id_col, lambda m: cells.probes(m, probes), local_rows, local_bytes,
                    width=cells.width)
 
@@ -199,7 +199,7 @@ def _hit_schema(v_schema, q_schema) -> str:
 
 def _with_the_tasks(v, few: pa.Table, q_schema, k, probe, width) -> DataFrame:
     ids = _column(few, "question_id")
-    matrix = _matrix(_column(few, "embedding"), width)
+    matrix = _matrix(_column(few, "asked"), width)
     if probe is None or not len(matrix):
         asked = Questions(ids, matrix)
     else:
@@ -216,10 +216,10 @@ def _with_the_tasks(v, few: pa.Table, q_schema, k, probe, width) -> DataFrame:
 def _by_blocks(v, q, k, probe, width) -> DataFrame:
     def add_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = probe(_matrix(batch.column("embedding"), width))
+            found = probe(_matrix(batch.column("asked"), width))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(list(found), pa.list_(pa.int32()))],
-                ["question_id", "embedding", "cells"])
+                ["question_id", "asked", "cells"])
 
     if probe is None:
         # All questions probe all vectors; shares of them by hash take the part of cells.
@@ -266,7 +266,7 @@ def _by_blocks(v, q, k, probe, width) -> DataFrame:
         if not one.num_rows or not other.num_rows:
             return types.empty_table()
         asked = Questions(
-            _column(other, "question_id"), _matrix(_column(other, "embedding"), width))
+            _column(other, "question_id"), _matrix(_column(other, "asked"), width))
         same_cell = pa.array(np.zeros(one.num_rows, np.int32))
         scored = _score(asked, k, _column(one, "id"), _column(one, "embedding"), same_cell)
         return pa.Table.from_batches(scored, types)

@@ -78,6 +78,15 @@ def test_a_third_of_all_rows_are_copies(spark, limits):
     same(rows(search.cosine_topk(v.coalesce(1), q, 4, **limits)), brute_force(vectors, questions, 4))
 
 
+@BOTH_WAYS
+def test_a_table_searched_with_itself(spark, limits, folder):
+    vectors = list(enumerate(random_vectors(120, 8, 17)))
+    frames(spark, vectors, vectors)[0].write.parquet(folder + "/v")
+    v = spark.read.parquet(folder + "/v")
+    asked = v.select(F.col("review_id").alias("question_id"), "embedding")
+    same(rows(search.cosine_topk(v, asked, 3, **limits)), brute_force(vectors, vectors, 3))
+
+
 def test_the_result_does_not_depend_on_partitioning(spark):
     vectors = list(enumerate(random_vectors(500, 24, 6)))
     v, q = frames(spark, vectors, list(enumerate(random_vectors(9, 24, 7))))
