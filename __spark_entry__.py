@@ -27,7 +27,7 @@ from reviewloom.sources import tables
 
 PRODUCT = "the example product"
 CELLS = search.Cells(bits=6, width=64)
-PROBES = 3
+PROBES = 16
 
 
 # --- inputs ----------------------------------------------------------------------------
@@ -612,13 +612,15 @@ projected AS (
 cells AS (
   SELECT vec_id, CAST(sum(CASE WHEN p >= 0 THEN 1 << CAST(bit AS INTEGER) ELSE 0 END) AS INTEGER)
     AS cell FROM projected GROUP BY 1),
-nearest AS (
-  SELECT vec_id, CAST(bit AS INTEGER) AS bit,
-    row_number() OVER (PARTITION BY vec_id ORDER BY abs(p), bit) AS place FROM projected),
+distances AS (
+  SELECT vec_id, mask, sum(CASE WHEN (mask >> CAST(bit AS INTEGER)) & 1 = 1 THEN p * p ELSE 0 END)
+    AS distance
+  FROM projected, range(1 << {CELLS.bits}) m(mask) GROUP BY 1, 2),
 probes AS (
-  SELECT vec_id, cell FROM cells UNION ALL
-  SELECT vec_id, xor(cell, 1 << bit) FROM nearest JOIN cells USING (vec_id)
-  WHERE place < {PROBES}),
+  SELECT vec_id, CAST(xor(CAST(cell AS BIGINT), mask) AS INTEGER) AS cell
+  FROM cells JOIN (SELECT *, row_number() OVER (
+      PARTITION BY vec_id ORDER BY distance, mask) AS place FROM distances) USING (vec_id)
+  WHERE place <= {PROBES}),
 scored AS (
   SELECT p.vec_id AS question_id, c.vec_id AS vec_id,
     list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))

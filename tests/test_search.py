@@ -144,10 +144,13 @@ def test_cells_are_signs_of_projections():
     signs = cells.project(matrix) >= 0
     assert [int(sum(1 << b for b in range(3) if s[b])) for s in signs] == cells.of(matrix).tolist()
     probes = cells.probes(matrix, 4)
-    assert (probes[:, 0] == cells.of(matrix)).all()
-    for projected, row in zip(cells.project(matrix), probes):
-        order = [int(row[0] ^ c).bit_length() - 1 for c in row[1:]]
-        assert sorted(order, key=lambda b: abs(projected[b])) == order and len(set(row)) == 4
+    for own, projected, row in zip(cells.of(matrix), cells.project(matrix), probes):
+        def distance(cell):
+            return sum(projected[b] ** 2 for b in range(3) if (int(own) ^ cell) >> b & 1)
+
+        others = set(range(8)) - set(row.tolist())
+        assert own in row and len(set(row)) == 4
+        assert max(map(distance, row.tolist())) <= min(map(distance, others))
     assert (search.Cells(3, 5, 8).planes != cells.planes).any()
     with pytest.raises(ValueError):
         search.Cells(bits=0, width=5)
@@ -171,14 +174,16 @@ def test_lsh_scores_everything_in_the_probed_cells(spark, limits, folder):
     same(got, sorted(expected))
 
 
-def test_lsh_with_all_probes_of_one_bit_is_exact(spark):
-    cells = search.Cells(bits=1, width=6)
+@BOTH_WAYS
+def test_lsh_with_all_cells_probed_is_exact(spark, limits):
+    cells = search.Cells(bits=3, width=6)
     v, q = frames(spark, list(enumerate(random_vectors(80, 6, 13))),
                   list(enumerate(random_vectors(5, 6, 14))))
-    assert rows(search.lsh_topk(search.assign_cells(v, cells), q, cells, 5, probes=2)) == rows(
+    v = search.assign_cells(v, cells)
+    assert rows(search.lsh_topk(v, q, cells, 5, probes=8, **limits)) == rows(
         search.cosine_topk(v, q, 5))
     with pytest.raises(ValueError):
-        search.lsh_topk(search.assign_cells(v, cells), q, cells, 5, probes=3)
+        search.lsh_topk(v, q, cells, 5, probes=9)
 
 
 def test_lsh_reads_only_the_probed_folders(spark, folder):
