@@ -83,7 +83,7 @@ def cosine_topk(
     """Exact nearest vectors: (question_id, rank, id, similarity).
 
     ``vectors`` has the id column and ``embedding``; ``questions`` has ``question_id`` and
-    ``embedding``. Runs one small job to measure the questions.
+    ``embedding``. Both ids have to be unique. Runs small jobs to measure the questions.
     """
     v = vectors.select(F.col(id_col).alias("id"), "embedding", F.lit(0).alias("cell"))
     q = questions.select("question_id", F.col("embedding").alias("asked"))
@@ -270,9 +270,12 @@ def _by_blocks(v, q, k, probe, width) -> DataFrame:
         .withColumn("v_block", every("v_blocks"))
         .drop("v_blocks", "q_blocks")
     )
-    schema = _hit_schema(v.schema, q.schema)
-    types = pa.schema([("question_id", _arrow_type(q, "question_id")),
-                       ("id", _arrow_type(v, "id")), ("similarity", pa.float64())])
+
+    types = pa.schema([
+        ("question_id", to_arrow_type(q.schema["question_id"].dataType)),
+        ("id", to_arrow_type(v.schema["id"].dataType)),
+        ("similarity", pa.float64()),
+    ])
 
     def score(one: pa.Table, other: pa.Table) -> pa.Table:
         if not one.num_rows or not other.num_rows:
@@ -281,14 +284,11 @@ def _by_blocks(v, q, k, probe, width) -> DataFrame:
             _column(other, "question_id"), _matrix(_column(other, "asked"), width))
         same_cell = pa.array(np.zeros(one.num_rows, np.int32))
         scored = _score(asked, k, _column(one, "id"), _column(one, "embedding"), same_cell)
-        return pa.Table.from_batches(scored, types)
+        return pa.Table.from_batches(scored).cast(types)
 
     keys = ["cell", "v_block", "q_block"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, schema)
-
-
-def _arrow_type(df: DataFrame, column: str) -> pa.DataType:
-    return to_arrow_type(df.schema[column].dataType)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        score, _hit_schema(v.schema, q.schema))
 
 
 # --- scoring inside a task -------------------------------------------------------------

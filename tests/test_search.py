@@ -108,6 +108,19 @@ def test_no_questions_and_no_vectors(spark, limits):
     assert rows(search.cosine_topk(v.limit(0), q, 5, **limits)) == []
 
 
+@BOTH_WAYS
+def test_with_large_arrow_types(spark, limits):
+    vectors = [(f"v{i}", v) for i, v in enumerate(random_vectors(40, 4, 18))]
+    questions = list(enumerate(random_vectors(3, 4, 19)))
+    v, q = frames(spark, vectors, questions, "string")
+    spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
+    try:
+        got = rows(search.cosine_topk(v, q, 3, **limits))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.useLargeVarTypes")
+    same(got, brute_force(vectors, questions, 3))
+
+
 def test_widths_must_agree(spark):
     v, q = frames(spark, [(1, [1.0, 0.0])], [(1, [1.0, 0.0, 0.0])])
     with pytest.raises(Exception, match="widths"):
