@@ -61,9 +61,9 @@ def hashed_embeddings(
     is the first 32 bits of its MD5 modulo ``width``. Each row is done where it lies:
     nothing is exploded or shuffled. Arrow splits the texts and numbers the distinct
     tokens of a batch, so that only those are hashed; built-in functions hash every token
-    and took several times as long (README, "Measured"). The vectors are lexical: they do not stand in for a sentence
-    model. ``unit`` divides by the length, which
-    cosine search does anyway; counts are whole numbers and their products exact.
+    and took several times as long (README, "Measured"). The vectors are lexical: they do
+    not stand in for a sentence model. ``unit`` divides by the length, which cosine search
+    does anyway; counts are whole numbers and their products exact.
     """
 
     @F.arrow_udf(T.ArrayType(T.FloatType()))

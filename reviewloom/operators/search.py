@@ -344,7 +344,7 @@ class Questions:
 def _score(
     asked: Questions, k: int, ids: pa.Array, embeddings: pa.Array, cells: pa.Array
 ) -> Iterator[pa.RecordBatch]:
-    """Hits of some vectors: for each question at least the best k of each cell it probes."""
+    """The best k of these vectors per question and cell it probes."""
     if not len(ids) or not len(asked.ids):
         return
     order = pc.sort_indices(ids)
@@ -352,7 +352,9 @@ def _score(
     matrix = _matrix(embeddings.take(order), asked.matrix.shape[1])
     norms = _norms(matrix)
     for cell in np.unique(cells):
-        questions = asked.by_cell.get(int(cell), [])
+        questions = asked.by_cell.get(int(cell))
+        if questions is None:
+            continue
         rows = np.nonzero(cells == cell)[0]
         units = _units(matrix[rows], norms[rows])
         collapsed = False
@@ -367,6 +369,9 @@ def _score(
                 near = _near(units, norms[rows], asked, tile, k)
             r, q = rows[near[0]], tile[near[1]]
             similarity = _similarity(matrix, norms, r, asked, q)
+            order = np.lexsort((r, np.nan_to_num(-similarity, nan=2.0), q))
+            best = order[_first_of_each(q[order], k)]
+            r, q, similarity = r[best], q[best], similarity[best]
             yield pa.RecordBatch.from_arrays(
                 [asked.ids.take(pa.array(q)), ids.take(pa.array(r)),
                  pa.array(similarity, pa.float64(), from_pandas=True)],
@@ -409,6 +414,9 @@ def _lowest_of_equals(matrix: np.ndarray, k: int) -> np.ndarray:
     rows = raw.view(np.dtype((np.void, raw.dtype.itemsize * raw.shape[1]))).ravel()
     _, group = np.unique(rows, return_inverse=True)
     order = np.argsort(group, kind="stable")
-    ordered = group[order]
-    position = np.arange(len(ordered)) - np.searchsorted(ordered, ordered, side="left")
-    return np.sort(order[position < k])
+    return np.sort(order[_first_of_each(group[order], k)])
+
+
+def _first_of_each(ordered: np.ndarray, k: int) -> np.ndarray:
+    """True for the first k of each run of equal numbers."""
+    return np.arange(len(ordered)) - np.searchsorted(ordered, ordered, side="left") < k
