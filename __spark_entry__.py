@@ -25,6 +25,13 @@ from reviewloom.operators import (
 from reviewloom.plans.ask import ask
 from reviewloom.sources import tables
 
+try:  # the operators for training data can be taken out as a whole
+    import corpus_pipeline
+    from reviewloom.llm import oracles as llm_oracles
+    from reviewloom.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = llm_oracles = None
+
 PRODUCT = "the example product"
 CELLS = search.Cells(bits=6, width=64)
 PROBES = 16
@@ -424,7 +431,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    found = {query.__name__: query for query in _QUERIES}
+    if llm_queries:
+        found |= {query.__name__: query for query in llm_queries.QUERIES}
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 # --- the same in SQL -------------------------------------------------------------------
@@ -638,6 +649,15 @@ def _mdy(text: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _own_oracles()
+    if llm_queries:
+        found |= llm_oracles.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _own_oracles() -> dict[str, str]:
     month, day, year = "(doc_id % 13 + 1)", "(doc_id % 31 + 1)", "(1990 + n_chars % 40)"
     knn = f"WITH {_VECTOR_SCORES.format(where='')}"
     return {
