@@ -5,13 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import licenses, quality, url_rules
+from reviewloom.llm import html_main, language, licenses, packing, quality, url_rules
+
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(_table(spark, sf_dir, "pages"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", language.held_out("doc_id").alias("held_out"))
+    model = language.fit(docs.where("NOT held_out"))
+    return language.identify(docs.drop("lang"), model).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return url_rules.judge(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -29,4 +49,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"))
 
 
-QUERIES = [op7_url_filters, op8_license_scan, op10_quality_rules]
+QUERIES = [op1_html_extraction, op4_best_fit_packing, op6_language_id, op7_url_filters, op8_license_scan, op10_quality_rules]
