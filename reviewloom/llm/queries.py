@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import html_main, language, licenses, packing, quality, url_rules
+from reviewloom.llm import (
+    html_main, language, licenses, near_dup, packing, quality, url_rules,
+)
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -41,6 +43,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     failed = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
@@ -49,4 +55,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"))
 
 
-QUERIES = [op1_html_extraction, op4_best_fit_packing, op6_language_id, op7_url_filters, op8_license_scan, op10_quality_rules]
+QUERIES = [op1_html_extraction, op4_best_fit_packing, op6_language_id, op7_url_filters, op8_license_scan,
+           op9_minhash_near_dedup, op10_quality_rules]
