@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import (
-    html_main, language, licenses, near_dup, packing, quality, url_rules,
+    html_main, language, licenses, near_dup, packing, quality, substring,
+    url_rules,
 )
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -20,6 +21,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(_table(spark, sf_dir, "pages"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -55,5 +60,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"))
 
 
-QUERIES = [op1_html_extraction, op4_best_fit_packing, op6_language_id, op7_url_filters, op8_license_scan,
+QUERIES = [op1_html_extraction, op2_substring_dedup, op4_best_fit_packing, op6_language_id, op7_url_filters, op8_license_scan,
            op9_minhash_near_dedup, op10_quality_rules]
