@@ -23,8 +23,8 @@ RUN_ROWS, RUN_BYTES, BUCKET = 2000, 6 << 20, 1 << 20
 NO_ID = -(1 << 63)
 
 _PACKED = ("bucket int, run long, ids array<long>, text_hashes array<long>, sizes binary,"
-           " hashes binary, places binary")
-_MARKED = "run long, ids array<long>, text_hashes array<long>, sizes binary, places binary"
+           " sure binary, hashes binary, places binary")
+_MARKED = "run long, ids array<long>, text_hashes array<long>, sizes binary, sure binary, places binary"
 
 
 def gaps(places: np.ndarray) -> bytes:
@@ -40,7 +40,7 @@ def gaps(places: np.ndarray) -> bytes:
     return bytes([kind.itemsize]) + units.tobytes()
 
 
-def places_of(data: bytes) -> np.ndarray:
+def places_of(data: bytes | None) -> np.ndarray:
     if not data:
         return np.zeros(0, dtype=np.int64)
     kind, full = (np.dtype("u1"), 255) if data[0] == 1 else (np.dtype("<u2"), 65535)
@@ -59,25 +59,27 @@ def own_id(id_col: str):
     return F.when(F.col("id") != NO_ID, F.col("id")).alias(id_col)
 
 
-def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of bounded rows and text; the text column is `text`."""
+def runs(batches: Iterator[pa.RecordBatch], most: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of bounded rows and, but for single longer texts, bytes; the text column is `text`."""
     for batch in batches:
         length = pa.compute.binary_length(batch.column(batch.schema.get_field_index("text")))
         total = np.cumsum(length.to_numpy(zero_copy_only=False))
         start = 0
         while start < batch.num_rows:
             done = total[start - 1] if start else 0
-            end = int(np.searchsorted(total, done + RUN_BYTES)) + 1
+            end = int(np.searchsorted(total, done + most)) + 1
             end = min(max(end, start + 1), start + RUN_ROWS, batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
 
 
 def packed(run: pa.RecordBatch, sizes: np.ndarray, hashes: np.ndarray, places: np.ndarray,
-           buckets: int, width: int, flags: np.ndarray | None = None, everywhere: bool = False) -> pa.RecordBatch:
+           buckets: int, width: int, flags: np.ndarray | None = None, everywhere: bool = False,
+           sure: np.ndarray | None = None) -> pa.RecordBatch:
     """Rows for the buckets of a run. sizes: places of each document in order; hashes at ascending
-    places. width: bytes of a hash; with flags, its lowest bit. The run's documents are in the
-    first row, or everywhere."""
+    places. width: bytes of a hash; with flags, its lowest bit. sure: places marked already, so
+    that of a hash with many places in a run one goes to its bucket. The run's documents and sure
+    places are in the first row; the documents everywhere if asked for."""
     bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(bucket.astype(np.uint16 if buckets <= 65536 else np.int64), kind="stable")
     kept = hashes if width == 8 else hashes.astype(np.uint32)
@@ -91,13 +93,22 @@ def packed(run: pa.RecordBatch, sizes: np.ndarray, hashes: np.ndarray, places: n
     key = xxhash.xxh3_64_intdigest(np.array(about[0] + about[1], dtype="<i8").tobytes()) - (1 << 63)
     n = len(starts)
     told = [x if i == 0 or everywhere else None for x in about for i in range(n)]
+    decided = [gaps(sure) if i == 0 and sure is not None else None for i in range(n)]
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket[starts], pa.int32()), pa.array([key] * n, pa.int64()),
          pa.array(told[:n], pa.list_(pa.int64())), pa.array(told[n:2 * n], pa.list_(pa.int64())),
-         pa.array(told[2 * n:], pa.binary()),
+         pa.array(told[2 * n:], pa.binary()), pa.array(decided, pa.binary()),
          pa.array([kept[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
          pa.array([gaps(places[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary())],
-        ["bucket", "run", "ids", "text_hashes", "sizes", "hashes", "places"])
+        ["bucket", "run", "ids", "text_hashes", "sizes", "sure", "hashes", "places"])
+
+
+def once(hashes: np.ndarray, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(first, again): where a hash comes first in that order, and where it came before."""
+    by = np.argsort(hashes, kind="stable") if order is None else order[np.argsort(hashes[order], kind="stable")]
+    again = np.zeros(len(hashes), bool)
+    again[1:] = hashes[by][1:] == hashes[by][:-1]
+    return by[~again], by[again]
 
 
 def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
@@ -126,19 +137,20 @@ def answered(rows: DataFrame, rule: Callable[[np.ndarray, list[dict]], np.ndarra
         for group in grouped(batches, "bucket"):
             parts = [np.frombuffer(r["hashes"], kind) for r in group]
             marks = np.split(rule(np.concatenate(parts), group), np.cumsum([len(x) for x in parts])[:-1])
-            out = [(r["run"], r["ids"], r["text_hashes"], r["sizes"], gaps(places_of(r["places"])[m]))
+            out = [(r["run"], r["ids"], r["text_hashes"], r["sizes"], r["sure"], gaps(places_of(r["places"])[m]))
                    for r, m in zip(group, marks, strict=True) if m.any() or r["ids"] is not None]
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*out, strict=True), (
-                        pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()),
-                        strict=True)], ["run", "ids", "text_hashes", "sizes", "places"])
+                        pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(),
+                        pa.binary()), strict=True)], ["run", "ids", "text_hashes", "sizes", "sure", "places"])
 
     def returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, "run"):
             about = next(r for r in group if r["ids"] is not None)
             ends = np.cumsum(np.frombuffer(about["sizes"], "<i4"), dtype=np.int64)
-            places = np.unique(np.concatenate([places_of(r["places"]) for r in group]))
+            places = np.unique(np.concatenate(
+                [places_of(r[x]) for r in group for x in ("places", "sure")]))
             of = np.searchsorted(ends, places, side="right")
             out = []
             for doc in np.unique(of).tolist():

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.llm.common import written
 from reviewloom.llm.exchange import (
-    _PACKED, answered, bucket_count, keyed, own_id, packed, places_of, runs,
+    _PACKED, answered, bucket_count, keyed, once, own_id, packed, places_of, runs,
 )
 from reviewloom.llm.hashing import WordHashes, spaced_words, windows
 
@@ -50,7 +50,19 @@ def _probes(docs: DataFrame, window: int, buckets: int) -> DataFrame:
             whole = (np.arange(len(hashes)) + block <= ends) & (np.repeat(sizes, sizes)[:len(hashes)] >= window)
             places = np.flatnonzero(whole)
             if len(places):
-                yield packed(run, sizes, hashes[places], places, buckets, 4, flags=at[places] % block == 0)
+                hashes, flags = hashes[places], at[places] % block == 0
+                first, again = once(hashes >> np.uint64(1))
+                value, of = np.unique(hashes[first] >> np.uint64(1), return_inverse=True)
+                held = np.searchsorted(value, hashes[again] >> np.uint64(1))
+                repeated = np.isin(of, held)
+                indexed = np.zeros(len(value), bool)
+                indexed[of[flags[first]]] = True
+                indexed[held[flags[again]]] = True
+                place = np.argsort(first, kind="stable")
+                first, of = first[place], of[place]
+                sure = np.sort(places[np.concatenate((again, first[repeated[place]]))])
+                yield packed(run, sizes, hashes[first], places[first], buckets, 4,
+                             flags=indexed[of], sure=sure)
 
     return docs.mapInArrow(made, _PACKED)
 
@@ -111,7 +123,16 @@ def _extended(held: DataFrame, window: int, buckets: int) -> DataFrame:
                 begin[i] + _starts(x, int(sizes[i]), block, window)
                 for i, x in enumerate(run.column("hits").to_pylist())])
             if len(places):
-                yield packed(run, sizes, hashes[places], places, buckets, 8, everywhere=True)
+                of = np.searchsorted(np.cumsum(sizes), places, side="right")
+                ids = run.column("id").to_numpy()[of]
+                starts = places - begin[of]
+                by = np.lexsort((starts, ids))
+                first, again = once(hashes[places], by)
+                sure, first = np.sort(places[again]), np.sort(first)
+                if len(np.unique(run.column("id").to_numpy())) < len(sizes):  # rows of one id: none is sure
+                    first, sure = np.arange(len(places)), places[:0]
+                yield packed(run, sizes, hashes[places[first]], places[first], buckets, 8,
+                             everywhere=True, sure=sure)
 
     return held.mapInArrow(made, _PACKED)
 
