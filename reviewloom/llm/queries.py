@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.llm import (
     html_main, language, licenses, near_dup, packing, quality, substring,
-    url_rules,
+    suffix, url_rules,
 )
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -31,6 +31,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", language.held_out("doc_id").alias("held_out"))
@@ -60,5 +64,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"))
 
 
-QUERIES = [op1_html_extraction, op2_substring_dedup, op4_best_fit_packing, op6_language_id, op7_url_filters, op8_license_scan,
+QUERIES = [op1_html_extraction, op2_substring_dedup, op4_best_fit_packing, op5_suffix_array_dedup,
+           op6_language_id, op7_url_filters, op8_license_scan,
            op9_minhash_near_dedup, op10_quality_rules]
