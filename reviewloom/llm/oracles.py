@@ -73,4 +73,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM voted, e{quality.ROUNDS - 1}"""
 
 
-ORACLES = {"op7_url_filters": _url_filters(), "op10_quality_rules": _quality()}
+_PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _decontamination() -> str:
+    split = lambda table, key: f"""
+  SELECT row_number() OVER () AS k, {key} AS id,
+    regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_PLAIN}') AS w FROM {table}"""
+    return rf"""
+WITH docs AS MATERIALIZED ({split('documents', 'doc_id')}),
+items AS ({split('benchmark', 'item_id')}),
+item_windows AS (
+  SELECT DISTINCT id AS item_id, len(v) AS n, array_to_string(v, ' ') AS v
+  FROM (SELECT id, w[i:i + least(13, len(w)) - 1] AS v
+    FROM (SELECT id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM items WHERE len(w) > 0))),
+sizes AS (SELECT DISTINCT n FROM item_windows),
+found AS (
+  SELECT k, i, n, item_id
+  FROM (SELECT k, n, i, array_to_string(w[i:i + n - 1], ' ') AS v
+    FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes WHERE len(w) >= n))
+  JOIN item_windows USING (n, v)),
+hits AS (
+  SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS p FROM found) GROUP BY k),
+named AS (
+  SELECT k, count(DISTINCT item_id) AS n_items,
+    sha256(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS items
+  FROM found GROUP BY k)
+SELECT id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items, sha256('')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (k) LEFT JOIN named USING (k)"""
+
+
+ORACLES = {
+    "op3_benchmark_decontamination": _decontamination(),
+    "op7_url_filters": _url_filters(),
+    "op10_quality_rules": _quality(),
+}

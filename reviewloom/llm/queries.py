@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import (
-    html_main, language, licenses, near_dup, packing, quality, substring,
+    decontaminate, html_main, language, licenses, near_dup, packing, quality, substring,
     suffix, url_rules,
 )
 
@@ -25,6 +25,14 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.contaminated(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -64,6 +72,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"))
 
 
-QUERIES = [op1_html_extraction, op2_substring_dedup, op4_best_fit_packing, op5_suffix_array_dedup,
+QUERIES = [op1_html_extraction, op2_substring_dedup, op3_benchmark_decontamination,
+           op4_best_fit_packing, op5_suffix_array_dedup,
            op6_language_id, op7_url_filters, op8_license_scan,
            op9_minhash_near_dedup, op10_quality_rules]
