@@ -133,7 +133,7 @@ def _verified(found: Column, held: Column) -> Column:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
                  item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(id, n_words, n_hit, items, contaminated) of each row of docs.
+    """(id, text_hash, n_words, n_hit, items, contaminated) of each row of docs.
 
     n_hit counts the words inside any occurrence of `window` successive words of an item (of all
     its words, if it has fewer); items are the ids of items that occur, as sorted strings.
@@ -150,12 +150,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
              .agg(F.collect_list(F.struct("item_id", "diagonal", "starts", "item_words", "length")).alias("found")))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash"))
-    judged = rows.join(found, same, "left").select("id", let(plain_words(F.col("text")), lambda w: F.struct(
+    judged = rows.join(found, same, "left").select("id", rows["text_hash"], let(plain_words(F.col("text")), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"),
         F.when(F.col("found").isNotNull(), _verified(F.col("found"), w)).alias("hits"))).alias("j"))
     hit = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda x: x["places"]))))
-    return judged.select(F.col("id").alias(id_col), "j.n_words", "j.hits").select(
-        id_col, "n_words", F.when(F.col("hits").isNotNull(), hit).otherwise(0).cast("long").alias("n_hit"),
+    return judged.select(F.col("id").alias(id_col), "text_hash", "j.n_words", "j.hits").select(
+        id_col, "text_hash", "n_words", F.when(F.col("hits").isNotNull(), hit).otherwise(0).cast("long").alias("n_hit"),
         F.coalesce(F.array_sort(F.array_distinct(F.transform("hits", lambda x: x["item_id"]))),
                    F.array().cast("array<string>")).alias("items"),
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (LEAST_SHARE * F.col("n_hit") >= F.col("n_words")))

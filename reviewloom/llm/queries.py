@@ -40,7 +40,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents")).drop("text_hash", "kept")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +61,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

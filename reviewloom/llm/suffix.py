@@ -371,14 +371,15 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
                         np.add.at(change, spans[:, 1] - 1 + window, -1)
                     gone = np.cumsum(change)[:-1] > 0
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                out.append((len(data), int(gone.sum()), len(_spans(gone)), hashlib.sha256(kept).hexdigest(), kept))
+                out.append((len(data), int(gone.sum()), len(_spans(gone)), hashlib.sha256(kept).hexdigest(),
+                            kept.decode("utf-8", "ignore")))
             yield pa.RecordBatch.from_arrays(
-                [run.column("id"), *(pa.array(x, t) for x, t in zip(zip(*out, strict=True), (
-                    pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True))],
-                ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                [run.column("id"), run.column("text_hash"), *(pa.array(x, t) for x, t in zip(zip(*out, strict=True), (
+                    pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True))],
+                ["id", "text_hash", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return rows.mapInArrow(judged, "id long, n_bytes long, n_removed long, n_spans long,"
-                                   " kept_sha256 string, kept binary")
+    return rows.mapInArrow(judged, "id long, text_hash long, n_bytes long, n_removed long, n_spans long,"
+                                   " kept_sha256 string, kept string")
 
 
 def _split(docs: DataFrame) -> DataFrame:
@@ -402,11 +403,11 @@ def _split(docs: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW,
                    anchor: int = ANCHOR) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) of each row of docs.
+    """(id, text_hash, n_bytes, n_removed, n_spans, kept_sha256, kept) of each row of docs.
 
     Every byte goes that a string of `window` bytes covers which also starts anywhere else, in
-    the same text or another. kept holds the other bytes; it is null where all stay, and need not
-    be whole characters. Null counts as empty, and a null id is an id like others. Rows with equal
+    the same text or another. The hash is of the other bytes; kept is their text, without what is
+    left of cut characters, and null where all bytes stay. Null counts as empty, and a null id is an id like others. Rows with equal
     texts hold all of each other, whatever their ids: from `window` bytes on, nothing of them
     stays. Ids are integers; other columns are not read.
     """
@@ -439,8 +440,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     repeated = found.groupBy("id", "text_hash").agg(F.collect_list("found").alias("found"))
     texts = split.where("text IS NOT NULL").select("id", "text_hash", "text", "copied")
     whole = split.where("text IS NULL").select(
-        "id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
-        "kept_sha256", F.lit(None).cast("binary").alias("kept"))
+        "id", "text_hash", "n_bytes", F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("n_spans"), "kept_sha256", F.lit(None).cast("string").alias("kept"))
     cut = _cut(texts.join(repeated, ["id", "text_hash"], "left"), window)
     return whole.unionByName(cut).select(
-        own_id(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+        own_id(id_col), "text_hash", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
