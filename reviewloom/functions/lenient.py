@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 
 # A whole number with an optional fraction, as a non-ANSI cast accepts it.
 _NUMBER = r"^\s*([+-]?\d+)(?:\.\d*)?\s*$"
+# What a count and a price are cleared of, and the formats of a date.
+_NOT_DIGIT, _NOT_PRICE = "[^0-9]", "[^0-9.]"
+_DAY_FORMATS = ("M/d/yyyy", "yyyy-MM-dd")
+# A date and a time as type inference reads a timestamp.
+_TIMESTAMP = r"^\s*\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}.*$"
 # A count that type inference has turned into a double.
 _DOUBLE_COUNT = r"^\s*(\d+)\.0\s*$"
 
@@ -31,15 +36,26 @@ def to_float(value: Column) -> Column:
     return value.try_cast("float")
 
 
-def digits(value: Column) -> Column:
-    """All digits of a cell as one integer: ``'1,234 people'`` is 1234, ``'none'`` null."""
+def digits(value: Column, dtype: T.DataType | None = None) -> Column:
+    """All digits of a cell as one integer: ``'1,234 people'`` is 1234, ``'none'`` null.
+
+    A column of numbers (``dtype``) is truncated and loses its sign; as text it would bring
+    the digits of its fraction and exponent along.
+    """
+    if isinstance(dtype, T.NumericType):
+        return F.abs(value).try_cast("int")
     whole = F.regexp_replace(value.cast("string"), _DOUBLE_COUNT, "$1")
-    return F.regexp_replace(whole, "[^0-9]", "").try_cast("int")
+    return F.regexp_replace(whole, _NOT_DIGIT, "").try_cast("int")
 
 
-def price(value: Column) -> Column:
-    """Digits and dots of a cell as float. The sign is lost and a price range is null."""
-    return F.regexp_replace(value.cast("string"), "[^0-9.]", "").try_cast("float")
+def price(value: Column, dtype: T.DataType | None = None) -> Column:
+    """Digits and dots of a cell as float. The sign is lost and a price range is null.
+
+    A column of numbers (``dtype``) only loses its sign: its text may hold an exponent.
+    """
+    if isinstance(dtype, T.NumericType):
+        return F.abs(value).try_cast("float")
+    return F.regexp_replace(value.cast("string"), _NOT_PRICE, "").try_cast("float")
 
 
 def null_outside(value: Column, low=None, high=None) -> Column:
@@ -55,11 +71,13 @@ def null_outside(value: Column, low=None, high=None) -> Column:
 
 
 def parse_date(value: Column, dtype: T.DataType | None = None) -> Column:
-    """``M/d/yyyy``, or ISO as type inference would have read it; anything else is null."""
+    """``M/d/yyyy``, or an ISO date or timestamp as type inference would have read it; anything
+    else is null. A timestamp without a zone keeps its day whatever the session's zone."""
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return value.cast("date")
     text = value.cast("string")
-    return F.coalesce(F.try_to_date(text, "M/d/yyyy"), F.try_to_date(text, "yyyy-MM-dd"))
+    day = F.coalesce(*[F.try_to_date(text, form) for form in _DAY_FORMATS])
+    return F.coalesce(day, F.when(text.rlike(_TIMESTAMP), text.try_cast("timestamp_ntz").cast("date")))
 
 
 def label(value: Column) -> Column:

@@ -86,12 +86,12 @@ def map_products(raw: DataFrame, missing: str = "null") -> DataFrame:
 
     parse = {
         "category": lambda h: column(h).cast("string"),
-        "price": lambda h: lenient.price(column(h)),
+        "price": lambda h: lenient.price(column(h), types[h]),
         "brand": lambda h: column(h).cast("string"),
         "avg_rating": lambda h: lenient.to_float(column(h)),
         "review_count": lambda h: lenient.to_int(column(h), types[h]),
     }
-    # What the first column stands for where a field is not there.
+    # What the first column stands for where a field is not there.
     from_first = {
         "category": lambda: column(first).isNull().cast("string"),
         "price": lambda: lenient.to_float(column(first)),

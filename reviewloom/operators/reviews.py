@@ -74,7 +74,7 @@ def clean_reviews(
         lenient.null_outside(rating, LOWEST_RATING, HIGHEST_RATING).alias("rating"),
         lenient.flag(F.col("is_verified"), VERIFIED).alias("is_verified"),
         lenient.label(F.col("product_variant")).alias("product_variant"),
-        lenient.digits(F.col("helpful_votes_raw")).alias("helpful_votes"),
+        lenient.digits(F.col("helpful_votes_raw"), types["helpful_votes_raw"]).alias("helpful_votes"),
         lenient.parse_date(F.col("review_date_raw"), types["review_date_raw"]).alias("review_date"),
         *[F.col(f"`{c}`").alias(f"__extra_{i}") for i, c in enumerate(extra)],
     )

@@ -105,3 +105,18 @@ def test_content_id_keeps_the_parts_apart(spark):
     df = spark.createDataFrame([("ab", "c"), ("a", "bc"), ("a", ":1:bc")], "a string, b string")
     ids = {r[0] for r in df.select(text.content_id(F.col("a"), F.col("b"))).collect()}
     assert len(ids) == 3
+
+
+def test_typed_numbers_skip_the_text(spark):
+    double = T.DoubleType()
+    cells = [12345678.0, 0.0005, -19.5, None, 1e20]
+    got = one_column(spark, lambda x: lenient.price(x, double).cast("double"), cells, "double")
+    assert got[0] == 12345678.0 and abs(got[1] - 0.0005) < 1e-9 and got[2] == 19.5 and got[3] is None
+    assert one_column(spark, lambda x: lenient.digits(x, double), cells, "double") == [
+        12345678, 0, 19, None, None]
+
+
+def test_iso_timestamps_keep_their_day(spark):
+    cells = ["2017-10-03 10:11:12", "2017-10-03T23:59:59.5", "2017-13-03 10:11:12", "2017-10-03 x"]
+    day = datetime.date(2017, 10, 3)
+    assert one_column(spark, lenient.parse_date, cells) == [day, day, None, None]
