@@ -45,12 +45,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all else unchanged."""
-    return F.translate(text, _UPPER, _UPPER.lower())
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(
+        F.translate(text, _UPPER, _UPPER.lower()))
 
 
 def words(text: Column, pattern: str) -> Column:
-    """The words of a text in order; none for null."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({pattern})"), F.lit(1))
+    """The words of a text in order, given by the pattern of a run of a negated set of characters;
+    none for null. Splitting at the set itself takes half the time of finding the words."""
+    if not (pattern.startswith("[^") and pattern.endswith("]+")):
+        raise ValueError(f"not a run of a negated set: {pattern}")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{pattern[2:]}"), "")
 
 
 def count_matches(text: Column, pattern: str) -> Column:

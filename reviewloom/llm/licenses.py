@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import PLAIN_WORD, let, lower_ascii, words
+from reviewloom.llm.common import PLAIN_WORD, let, lower_ascii, words, written
 
 GRAM = 2
 #: Fixed values of the contract: phrases and their labels.
@@ -68,10 +68,10 @@ def spans(docs: DataFrame, keys: list[str], text: str, base: dict[str, str] = BA
     """(keys, template, label, exact, first, share) of every verified span.
 
     Equal rows of docs give their spans once; a text that is null, or has fewer words than a
-    pair, gives none.
+    pair, gives none. The votes are written once, as exact and merged spans both read them.
     """
     table = F.broadcast(template_grams(docs.sparkSession, base, more).withColumnRenamed("gram", "same"))
-    votes = (
+    votes = written(
         docs.select(*keys, F.explode(_grams(F.col(text))).alias("g"))
         .select(*keys, "g.*")
         .join(table, "hash").where("gram = same")
@@ -112,7 +112,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"),
         F.max("share").alias("score"))
     found = found.withColumnsRenamed({"id": "found_id", "hash_of": "found_hash"})
-    sized = rows.select("id", "hash_of", F.size(words(lower_ascii(F.col("text")), PLAIN_WORD))
+    sized = rows.select("id", "hash_of", F.size(words(F.col("text"), PLAIN_WORD))
                         .cast("long").alias("n_words"))
     same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("hash_of") == F.col("found_hash"))
     return sized.join(found, same, "left").select(
