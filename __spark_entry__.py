@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -22,6 +23,7 @@ from reviewloom.functions import vectors as vector_functions
 from reviewloom.operators import (
     answers, embed, gates, products, prompts, reviews, search, stats,
 )
+from reviewloom.plans import stages
 from reviewloom.plans.ask import ask
 from reviewloom.sources import tables
 
@@ -34,7 +36,9 @@ except ImportError:
 
 PRODUCT = "the example product"
 CELLS = search.Cells(bits=6, width=64)
-PROBES = 16
+PROBES = 48
+# Vectors and questions of a few hundred rows, so that small tables make many blocks.
+SMALL_BLOCKS = (1 << 18, 1 << 17)
 
 
 # --- inputs ----------------------------------------------------------------------------
@@ -45,24 +49,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new folder that all executors share; a local one only where none is configured."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="reviewloom-")
+    """A new folder that all executors share. Where none is configured, a local master gets a
+    local one, as in tests; on a cluster that is an error."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="reviewloom-")
     return f"{shared}/{uuid.uuid4().hex}"
 
 
 def _raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as raw reviews. A few by id have a null title, a null or blank text, a null
+    product, a null rating, or a rating from 0 to 7."""
     return _table(spark, sf_dir, "documents").selectExpr(
         "doc_id",
         "concat('/reviews/', doc_id) AS Pageurl",
-        "concat('  ', source, ' in ', lang, ' ') AS Title",
-        "text AS `Review Text`",
+        "CASE WHEN doc_id % 11 <> 3 THEN concat('  ', source, ' in ', lang, ' ') END AS Title",
+        "CASE WHEN doc_id % 29 = 7 THEN '   ' WHEN doc_id % 23 <> 5 THEN text END AS `Review Text`",
         "concat(' ', upper(lang)) AS `Review Color`",
         "CASE lang WHEN 'en' THEN ' Verified Purchase' WHEN 'fr' THEN 'verified purchase'"
         " WHEN 'de' THEN 'Unverified' END AS `User Verified`",
         "concat(doc_id % 13 + 1, '/', doc_id % 28 + 1, '/', 2000 + doc_id % 20) AS `Review Date`",
         "concat(doc_id, ' people found this helpful') AS `Review Useful Count`",
-        "concat(' ', upper(lang), ' Edition ') AS `Configuration Text`",
-        "concat(7 - length(cast(n_chars AS string)), '.', length(source)) AS Rating",
+        "CASE WHEN doc_id % 31 <> 4 THEN concat(' ', upper(lang), ' Edition ') END AS `Configuration Text`",
+        "CASE WHEN doc_id % 37 = 6 THEN NULL WHEN doc_id % 7 = 0 THEN concat(doc_id % 8, '.', length(source))"
+        " ELSE concat(7 - length(cast(n_chars AS string)), '.', length(source)) END AS Rating",
         "source AS `Declaration Text`",
     )
 
@@ -72,10 +84,12 @@ def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as raw products. A few by key have no name, or no description; under the brand as
+    key such rows would sort first."""
     return _table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS asin",
-        "concat(' ', upper(p_name), ' ') AS `Product Title`",
-        "concat(p_type, ' ', p_name, ' ') AS `About Product`",
+        "CASE WHEN p_partkey % 13 <> 5 THEN concat(' ', upper(p_name), ' ') END AS `Product Title`",
+        "CASE WHEN p_partkey % 17 <> 3 THEN concat(p_type, ' ', p_name, ' ') END AS `About Product`",
         "concat(' ', p_type) AS Department",
         "concat('$', p_retailprice) AS `Actual Price`",
         "p_brand AS Manufacturer",
@@ -85,9 +99,10 @@ def _raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _questions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every turn is a question. A few by turn are blank or null, or have an earlier turn's id."""
     turns = _table(spark, sf_dir, "conversations").selectExpr(
-        "concat(conv_id, '-', turn) AS question_id",
-        "CASE role WHEN 'user' THEN text WHEN 'assistant' THEN ' \\t\\n ' END AS question",
+        "concat(conv_id, '-', CASE WHEN turn % 9 = 8 THEN 0 ELSE turn END) AS question_id",
+        "CASE WHEN turn % 5 = 3 THEN ' \\t\\n ' WHEN turn % 7 <> 6 THEN text END AS question",
     )
     return search.split_questions(turns)
 
@@ -104,7 +119,7 @@ def _embed_questions(questions: DataFrame) -> DataFrame:
 def _written_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vector table as a search finds it: written once, then read."""
     path = f"{_scratch(spark)}/vectors"
-    tables.write_table(_vectors(spark, sf_dir), path)
+    tables.write_table(embed.with_shard(_vectors(spark, sf_dir)), path, partition_by=[embed.SHARD])
     return tables.read_table(spark, path)
 
 
@@ -179,7 +194,7 @@ def reviews_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     _raw_reviews(spark, sf_dir).write.csv(
         path, header=True, escape='"', quoteAll=True,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    raw = tables.read_reviews_csv(spark, path)
+    raw = tables.read_csv(spark, path)
     raw = raw.withColumn("doc_id", F.col("doc_id").cast("bigint"))
     return _shown(reviews.clean_reviews(raw, id_col="doc_id", tie_break=["doc_id"]))
 
@@ -282,11 +297,25 @@ def lenient_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         parsed("%d-%02d-%02d", year, month, day).alias("iso"),
         parsed("%d/%d/%d", month, day, F.col("n_chars") % 100).alias("two_digit_year"),
         parsed("%d/%d/%d", day, month, year).alias("day_first"),
+        parsed("%d-%02d-%02d 23:11:12", year, month, day).alias("iso_time"),
+        parsed("%d-%02d-%02dT00:11:12.5", year, month, day).alias("iso_t_time"),
         lenient.flag(F.concat(F.lit(" "), F.upper("lang")), "en").alias("is_en"),
         lenient.flag(F.nullif("lang", F.lit("en")), "fr").alias("is_fr"),
     )
 
 
+def typed_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices and counts of typed columns, above the size from which their text has an exponent."""
+    large = F.col("o_totalprice").cast("double") * 1000
+    double = T.DoubleType()
+    return _table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.round(lenient.price(large, double).cast("double") / 1e4).alias("price_large"),
+        F.round(lenient.price(-large / 1e10, double).cast("double"), 5).alias("price_small"),
+        lenient.digits(F.floor(large / 100) + 0.5, double).alias("digits_large"),
+    )
+
+
 def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.with_embed_text(_reviews(spark, sf_dir)).select("review_id", "embed_text")
 
@@ -341,7 +370,7 @@ def cosine_of_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knn_top5_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_self_search(spark, sf_dir, search.TOP_K, local_rows=0))
+    return _rounded(_self_search(spark, sf_dir, search.TOP_K, block_bytes=SMALL_BLOCKS))
 
 
 def _lsh(spark: SparkSession, sf_dir: str, **limits) -> DataFrame:
@@ -359,7 +388,7 @@ def knn_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knn_lsh_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lsh(spark, sf_dir, local_rows=0)
+    return _lsh(spark, sf_dir, block_bytes=SMALL_BLOCKS)
 
 
 def questions_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -409,6 +438,80 @@ def gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.gate_report({name: _table(spark, sf_dir, name) for name in names})
 
 
+def _csv(df: DataFrame, path: str) -> str:
+    df.write.csv(path, header=True, escape='"', quoteAll=True,
+                 ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return path
+
+
+def products_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _csv(_raw_products(spark, sf_dir), f"{_scratch(spark)}/raw_products")
+    return _money(products.clean_products(tables.read_csv(spark, path)))
+
+
+def _stage_paths(spark: SparkSession, sf_dir: str) -> stages.Paths:
+    folder = _scratch(spark)
+    return stages.Paths(
+        _csv(_raw_reviews(spark, sf_dir).drop("doc_id"), f"{folder}/raw/reviews"),
+        _csv(_raw_products(spark, sf_dir), f"{folder}/raw/products"),
+        f"{folder}/reviews", f"{folder}/products", f"{folder}/vectors")
+
+
+def stages_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages from raw files to checked vectors, and what they report."""
+    report = stages.run(spark, _stage_paths(spark, sf_dir), count_raw=True)
+    raw = report.raw_rows | {"vectors": report.rows["reviews"]}
+    rows = [(name, raw[name], n, raw[name] - n) for name, n in report.rows.items()]
+    return spark.createDataFrame(rows, "stage string, raw_rows long, rows long, dropped_rows long")
+
+
+def inputs_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inputs that are there, and one that is not."""
+    names = ["documents", "part", "no_such_table"]
+    return gates.input_report(spark, {n: f"{sf_dir}/{n}.parquet" for n in names})
+
+
+def clean_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and types of both clean tables as written, with their row counts."""
+    found = None
+    for name, df in (("reviews", _reviews(spark, sf_dir)),
+                     ("products", products.clean_products(_raw_products(spark, sf_dir)))):
+        path = f"{_scratch(spark)}/{name}"
+        tables.write_table(df, path)
+        back = tables.read_table(spark, path)
+        rows = stats.schema_rows(back).select(
+            F.lit(name).alias("table_name"), "position", "column", "type").crossJoin(
+            back.agg(F.count("*").alias("row_count")))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def ingestion_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ingestion time for all rows of a clean table, and none missing."""
+    return _reviews(spark, sf_dir).agg(
+        F.countDistinct("ingestion_ts").alias("times"), F.count("ingestion_ts").alias("rows_with_time"),
+        F.count("*").alias("row_count"))
+
+
+def knn_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Double vectors: differences below single precision decide the order."""
+    fine = F.transform("embedding", lambda x, i: x.cast("double") + F.col("vec_id") * 1e-13 * (i % 3))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", fine.alias("embedding"))
+    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("question_id"), "embedding")
+    return _rounded(search.cosine_topk(vectors, asked, search.TOP_K, id_col="vec_id"))
+
+
+def questions_searched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The look at a new vector table that closes its stage."""
+    paths = _stage_paths(spark, sf_dir)
+    stages.build_reviews(spark, paths)
+    stages.build_vectors(spark, paths)
+    turns = _table(spark, sf_dir, "conversations").where("role = 'user'").selectExpr(
+        "concat(conv_id, '-', turn) AS question_id", "text AS question")
+    hits = stages.check_search(spark, paths, turns, _embed_questions)
+    return hits.select("question_id", "rank", F.round("similarity", 6).alias("similarity"))
+
+
 def unmatched_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     return gates.unmatched_ids(documents, labels, "doc_id")
@@ -421,7 +524,8 @@ _QUERIES = [
     lenient_numbers, lenient_dates, embed_text, hashed_vectors, embed_with, vector_rows,
     knn_top5, knn_top2, cosine_of_hits, knn_top5_blocks, knn_lsh, knn_lsh_blocks, questions_valid,
     questions_rejected, search_questions, prompts_built, answers_generated, ask_records,
-    hit_records, gate_report, unmatched_ids,
+    hit_records, gate_report, unmatched_ids, typed_numbers, products_from_csv, stages_run,
+    inputs_checked, clean_schemas, ingestion_time, knn_doubles, questions_searched,
 ]
 
 
@@ -443,15 +547,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _RAW_REVIEWS = r"""
 raw AS (
   SELECT doc_id,
-    concat('  ', source, ' in ', lang, ' ') AS title,
-    text,
+    CASE WHEN doc_id % 11 <> 3 THEN concat('  ', source, ' in ', lang, ' ') END AS title,
+    CASE WHEN doc_id % 29 = 7 THEN '   ' WHEN doc_id % 23 <> 5 THEN text END AS text,
     concat(' ', upper(lang)) AS color,
     CASE lang WHEN 'en' THEN ' Verified Purchase' WHEN 'fr' THEN 'verified purchase'
       WHEN 'de' THEN 'Unverified' END AS verified,
     concat(doc_id % 13 + 1, '/', doc_id % 28 + 1, '/', 2000 + doc_id % 20) AS day,
     concat(doc_id, ' people found this helpful') AS votes,
-    concat(' ', upper(lang), ' Edition ') AS product,
-    concat(7 - length(CAST(n_chars AS VARCHAR)), '.', length(source)) AS rating
+    CASE WHEN doc_id % 31 <> 4 THEN concat(' ', upper(lang), ' Edition ') END AS product,
+    CASE WHEN doc_id % 37 = 6 THEN NULL WHEN doc_id % 7 = 0 THEN concat(doc_id % 8, '.', length(source))
+      ELSE concat(7 - length(CAST(n_chars AS VARCHAR)), '.', length(source)) END AS rating
   FROM documents)"""
 
 _REVIEWS = _RAW_REVIEWS + r""",
@@ -491,8 +596,8 @@ mapped AS (
 _RAW_PRODUCTS = r"""
 mapped AS (
   SELECT {product_id} AS product_id,
-    lower(trim(upper(p_name), ' ')) AS title,
-    trim(concat(p_type, ' ', p_name, ' '), ' ') AS description,
+    CASE WHEN p_partkey % 13 <> 5 THEN lower(trim(upper(p_name), ' ')) END AS title,
+    CASE WHEN p_partkey % 17 <> 3 THEN trim(concat(p_type, ' ', p_name, ' '), ' ') END AS description,
     lower(trim(p_type, ' ')) AS category,
     TRY_CAST(regexp_replace(concat('$', p_retailprice), '[^0-9.]', '', 'g') AS FLOAT) AS price,
     lower(trim(p_brand, ' ')) AS brand,
@@ -506,7 +611,7 @@ products AS (
     PARTITION BY product_id ORDER BY title NULLS FIRST, description NULLS FIRST,
       category NULLS FIRST, price NULLS FIRST, brand NULLS FIRST, avg_rating NULLS FIRST,
       review_count NULLS FIRST) AS place
-    FROM mapped) WHERE place = 1)"""
+    FROM mapped WHERE title IS NOT NULL AND description IS NOT NULL) WHERE place = 1)"""
 
 _PRODUCT_ROWS = """
 SELECT product_id, title, description, category, round(CAST(price AS DOUBLE), 2) AS price, brand,
@@ -524,12 +629,14 @@ _MAPPED_KEY = _RAW_PRODUCTS.format(product_id="lower(trim(p_brand, ' '))") + _ON
 
 _QUESTIONS = """
 turns AS (
-  SELECT concat(conv_id, '-', turn) AS question_id,
-    CASE role WHEN 'user' THEN text WHEN 'assistant' THEN concat(' ', chr(9), chr(10), ' ') END
+  SELECT concat(conv_id, '-', CASE WHEN turn % 9 = 8 THEN 0 ELSE turn END) AS question_id,
+    CASE WHEN turn % 5 = 3 THEN concat(' ', chr(9), chr(10), ' ') WHEN turn % 7 <> 6 THEN text END
       AS question
   FROM conversations),
-questions AS (
-  SELECT * FROM turns WHERE trim(question, concat(' ', chr(9), chr(10), chr(13))) <> '')"""
+usable AS (
+  SELECT *, count(*) OVER (PARTITION BY question_id) AS same
+  FROM turns WHERE trim(question, concat(' ', chr(9), chr(10), chr(13))) <> ''),
+questions AS (SELECT question_id, question FROM usable WHERE same = 1)"""
 
 
 def _counts(name: str, source: str, key: str, text: str) -> str:
@@ -569,12 +676,20 @@ hits AS (
   WHERE rank <= 5),
 ranked AS (SELECT * FROM hits JOIN reviews USING (review_id))"""
 
+_USER_HITS = _TEXT_HITS.replace(_QUESTIONS, """
+usable AS (
+  SELECT concat(conv_id, '-', turn) AS question_id, text AS question, count(*) OVER (
+    PARTITION BY conv_id, turn) AS same
+  FROM conversations
+  WHERE role = 'user' AND trim(text, concat(' ', chr(9), chr(10), chr(13))) <> ''),
+questions AS (SELECT question_id, question FROM usable WHERE same = 1)""")
+
 _PROMPTS = f"""{_TEXT_HITS},
 contexts AS (
   SELECT question_id, string_agg(concat(
     chr(10), 'Review ', rank, ':', chr(10),
     '  Rating    : ', rating, ' out of 5 stars', chr(10),
-    '  Title     : ', coalesce(review_title, 'N/A'), chr(10),
+    '  Title     : ', coalesce(review_title, ''), chr(10),
     '  Review    : ', review_text, chr(10), '---'), '' ORDER BY rank) AS context
   FROM ranked GROUP BY 1),
 prompts AS (
@@ -660,6 +775,14 @@ def oracle_sql() -> dict[str, str]:
 def _own_oracles() -> dict[str, str]:
     month, day, year = "(doc_id % 13 + 1)", "(doc_id % 31 + 1)", "(1990 + n_chars % 40)"
     knn = f"WITH {_VECTOR_SCORES.format(where='')}"
+    iso = (f"CAST(CAST(try_strptime(format('{{:d}}-{{:02d}}-{{:02d}}', {year}, {month}, {day}),"
+           " '%Y-%m-%d') AS DATE) AS VARCHAR)")
+    types = {"reviews": "string string string string int boolean string int date timestamp",
+             "products": "string string string string float string float int timestamp"}
+    columns = {"reviews": reviews.CLEAN_COLUMNS, "products": products.CLEAN_COLUMNS}
+    schema_rows = ", ".join(
+        f"('{t}', {i}, '{c}', '{kind}')" for t in types
+        for i, (c, kind) in enumerate(zip(columns[t], types[t].split(), strict=True)))
     return {
         "reviews_clean": _REVIEW_ROWS,
         "reviews_from_csv": _REVIEW_ROWS,
@@ -700,10 +823,10 @@ FROM documents""",
         "lenient_dates": f"""
 SELECT doc_id, {_mdy(f"concat({month}, '/', {day}, '/', {year})")} AS short,
   {_mdy(f"format('{{:02d}}/{{:02d}}/{{:d}}', {month}, {day}, {year})")} AS padded,
-  CAST(CAST(try_strptime(format('{{:d}}-{{:02d}}-{{:02d}}', {year}, {month}, {day}), '%Y-%m-%d')
-    AS DATE) AS VARCHAR) AS iso,
+  {iso} AS iso,
   CAST(NULL AS VARCHAR) AS two_digit_year,
   {_mdy(f"concat({day}, '/', {month}, '/', {year})")} AS day_first,
+  {iso} AS iso_time, {iso} AS iso_t_time,
   coalesce(lang = 'en', false) AS is_en, coalesce(lang = 'fr', false) AS is_fr
 FROM documents""",
         "embed_text": f"WITH {_REVIEWS},{_EMBED_TEXT} SELECT review_id, embed_text FROM texts",
@@ -729,7 +852,8 @@ FROM reviews LEFT JOIN sums USING (review_id)""",
         "questions_rejected": f"""WITH {_QUESTIONS}
 SELECT question_id,
   CASE WHEN question IS NULL THEN 'question is null' ELSE 'question is empty' END AS reason
-FROM turns WHERE question_id NOT IN (SELECT question_id FROM questions)""",
+FROM turns WHERE coalesce(trim(question, concat(' ', chr(9), chr(10), chr(13))), '') = ''
+UNION ALL SELECT question_id, 'question_id is not unique' FROM usable WHERE same > 1""",
         "search_questions": f"""WITH {_TEXT_HITS}
 SELECT question_id, rank, review_id, round(similarity, 6) AS similarity FROM hits WHERE rank <= 2""",
         "prompts_built": f"""WITH {_PROMPTS}
@@ -745,6 +869,34 @@ SELECT question_id, rank, review_id AS id, rating, coalesce(review_title, '') AS
         "gate_report": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) > 0 AS ok FROM {t}"
             for t in ["documents", "part", "embeddings", "conversations"]),
+        "questions_searched": f"""WITH {_USER_HITS}
+SELECT question_id, rank, round(similarity, 6) AS similarity FROM hits WHERE rank <= 2""",
+        "typed_numbers": """
+SELECT o_orderkey, round(CAST(CAST(o_totalprice * 1000 AS FLOAT) AS DOUBLE) / 1e4) AS price_large,
+  round(CAST(CAST(CAST(o_totalprice AS DOUBLE) * 1000 / 1e10 AS FLOAT) AS DOUBLE), 5) AS price_small,
+  TRY_CAST(floor(CAST(o_totalprice AS DOUBLE) * 1000 / 100) AS INTEGER) AS digits_large FROM orders""",
+        "products_from_csv": f"WITH {_MAPPED} {_PRODUCT_ROWS}",
+        "stages_run": f"""WITH {_REVIEWS}, {_MAPPED.strip()}
+SELECT 'reviews' AS stage, (SELECT count(*) FROM raw) AS raw_rows, count(*) AS rows,
+  (SELECT count(*) FROM raw) - count(*) AS dropped_rows FROM reviews
+UNION ALL SELECT 'products', (SELECT count(*) FROM part), count(*),
+  (SELECT count(*) FROM part) - count(*) FROM products
+UNION ALL SELECT 'vectors', count(*), count(*), 0 FROM reviews""",
+        "inputs_checked": "SELECT * FROM (VALUES ('documents', true, (SELECT count(*) > 0 FROM documents)),"
+        " ('part', true, (SELECT count(*) > 0 FROM part)), ('no_such_table', false, false))"
+        " t(input, there, ok)",
+        "clean_schemas": f"""WITH {_REVIEWS}, {_MAPPED.strip()}
+SELECT table_name, position, "column", type, CASE table_name
+  WHEN 'reviews' THEN (SELECT count(*) FROM reviews) ELSE (SELECT count(*) FROM products) END AS row_count
+FROM (VALUES {schema_rows}) t(table_name, position, "column", type)""",
+        "ingestion_time": f"""WITH {_REVIEWS}
+SELECT least(count(*), 1) AS times, count(*) AS rows_with_time, count(*) AS row_count FROM reviews""",
+        "knn_doubles": f"""WITH fine AS (
+  SELECT vec_id, list_transform(embedding, lambda x, i: CAST(x AS DOUBLE) + vec_id * 1e-13 * ((i - 1) % 3))
+    AS v FROM embeddings),
+scored AS (
+  SELECT q.vec_id AS question_id, f.vec_id AS vec_id, list_cosine_similarity(f.v, q.v) AS similarity
+  FROM fine f, fine q WHERE q.vec_id % 20 = 0){_best(5)}""",
         "unmatched_ids": """
 SELECT doc_id, d.doc_id IS NOT NULL AS in_left, l.doc_id IS NOT NULL AS in_right
 FROM documents d FULL JOIN labels l USING (doc_id)

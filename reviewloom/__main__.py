@@ -20,6 +20,8 @@ from reviewloom.sources import tables
 
 
 def _summary(raw: DataFrame, clean: DataFrame, counts: list[tuple[str, str]]) -> None:
+    stats.schema_rows(raw).show(truncate=False)
+    stats.preview(raw, 5, 60).show(truncate=False)
     stats.row_balance(raw, clean).show()
     stats.preview(clean, 5, 60).show(truncate=False)
     stats.schema_rows(clean).show(truncate=False)
@@ -29,7 +31,7 @@ def _summary(raw: DataFrame, clean: DataFrame, counts: list[tuple[str, str]]) ->
 
 def _reviews(spark: SparkSession, args: argparse.Namespace) -> None:
     gates.require_input(spark, args.raw)
-    raw = tables.read_reviews_csv(spark, args.raw, not args.single_line)
+    raw = tables.read_csv(spark, args.raw, not args.single_line)
     tables.write_table(reviews.clean_reviews(raw), args.clean)
     clean = tables.read_table(spark, args.clean)
     _summary(raw, clean, [("rating", "value"), ("product_id", "count")])
@@ -37,7 +39,7 @@ def _reviews(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _products(spark: SparkSession, args: argparse.Namespace) -> None:
     gates.require_input(spark, args.raw)
-    raw = tables.read_products_csv(spark, args.raw, not args.single_line)
+    raw = tables.read_csv(spark, args.raw, not args.single_line)
     print(f"detected columns: {products.detect_columns(raw.columns)}")
     tables.write_table(products.clean_products(raw, args.missing), args.clean)
     _summary(raw, tables.read_table(spark, args.clean), [("avg_rating", "value")])
@@ -45,7 +47,8 @@ def _products(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _vectors(spark: SparkSession, args: argparse.Namespace) -> None:
     clean = embed.with_embed_text(tables.read_table(spark, args.reviews))
-    tables.write_table(embed.vector_rows(embed.hashed_embeddings(clean)), args.vectors)
+    rows = embed.with_shard(embed.vector_rows(embed.hashed_embeddings(clean)))
+    tables.write_table(rows, args.vectors, partition_by=[embed.SHARD])
     print(f"{gates.require_rows(tables.read_table(spark, args.vectors), args.vectors)} vectors")
 
 
@@ -55,7 +58,7 @@ def _search(spark: SparkSession, args: argparse.Namespace) -> None:
     vectors = tables.read_table(spark, args.vectors)
     valid, _ = search.split_questions(asked)
     hits = search.search_questions(
-        vectors, valid, lambda q: embed.hashed_embeddings(q, "question"), args.k).persist()
+        vectors, valid, lambda q: embed.hashed_embeddings(q, "question"), args.k)
     ranked = prompts.with_reviews(hits, vectors).join(valid, "question_id")
     ranked.orderBy("question_id", "rank").select(
         "question", "rank", "similarity", "rating", F.substring("document", 1, 100).alias("document"),
@@ -66,7 +69,8 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     paths = stages.Paths(
         args.raw_reviews, args.raw_products, f"{args.output}/reviews_clean",
         f"{args.output}/products_clean", f"{args.output}/vectors")
-    report = stages.run(spark, paths, missing=args.missing, multi_line=not args.single_line)
+    report = stages.run(
+        spark, paths, missing=args.missing, multi_line=not args.single_line, count_raw=True)
     for name, rows in report.rows.items():
         print(f"{name}: {rows} rows")
     for name in report.raw_rows:

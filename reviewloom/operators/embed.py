@@ -19,6 +19,9 @@ from reviewloom.functions import text
 WIDTH = 384
 MODEL_BATCH = 64
 
+# Folders of a vector table that is laid out by id, and the column that names them.
+SHARDS, SHARD = 64, "shard"
+
 # Rows split into tokens at a time, and tokens whose dimension a task remembers.
 _HASH_ROWS = 2_048
 _KNOWN_TOKENS = 1 << 20
@@ -48,12 +51,20 @@ def vector_rows(embedded: DataFrame) -> DataFrame:
     )
 
 
+def with_shard(rows: DataFrame, id_col: str = "review_id") -> DataFrame:
+    """Add the shard of each id. A table written with ``partition_by=[SHARD]`` lets a reader of a
+    few ids leave most folders alone."""
+    shard = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(SHARDS)).cast("int")
+    return rows.withColumn(SHARD, shard)
+
+
 def hashed_embeddings(
     df: DataFrame,
     text_col: str = "embed_text",
     out_col: str = "embedding",
     width: int = WIDTH,
     unit: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Token counts hashed into ``width`` dimensions; no model needed.
 
@@ -63,7 +74,8 @@ def hashed_embeddings(
     tokens of a batch, so that only those are hashed; built-in functions hash every token
     and took several times as long (README, "Measured"). The vectors are lexical: they do
     not stand in for a sentence model. ``unit`` divides by the length, which cosine search
-    does anyway; counts are whole numbers and their products exact.
+    does anyway; counts are whole numbers and their products exact. ``tasks`` deals the rows
+    to so many tasks first.
     """
 
     @F.arrow_udf(T.ArrayType(T.FloatType()))
@@ -79,7 +91,13 @@ def hashed_embeddings(
             yield list_array(np.concatenate(parts) if parts else np.zeros((0, width), np.float32))
 
     lowered = F.lower(F.coalesce(F.col(text_col), F.lit("")))
-    return df.withColumn(out_col, count(lowered))
+    return _dealt(df, tasks).withColumn(out_col, count(lowered))
+
+
+def _dealt(df: DataFrame, tasks: int | None) -> DataFrame:
+    """Rows in so many tasks, whatever Spark would make of their bytes: a model's time goes by
+    rows. A number given this way is not changed at run time."""
+    return df if tasks is None else df.repartition(tasks)
 
 
 class _Dimensions(dict):
@@ -150,15 +168,18 @@ def embed_with(
     text_col: str = "embed_text",
     out_col: str = "embedding",
     batch_size: int = MODEL_BATCH,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Vectors from a caller's model, loaded once per task and fed ``batch_size`` texts.
 
+    ``tasks`` deals the rows to so many tasks first. Vectors of a task have to be equally long.
     Marked as not deterministic, so that no optimizer rule runs the model twice for a row.
     """
 
     @F.arrow_udf(T.ArrayType(T.FloatType()))
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = factory()
+        width = None
         for batch in batches:
             texts = batch.to_pylist()
             rows: list[np.ndarray] = []
@@ -167,8 +188,11 @@ def embed_with(
                 got = [np.asarray(vector, dtype=np.float32) for vector in model(part)]
                 if len(got) != len(part):
                     raise ValueError(f"model returned {len(got)} vectors for {len(part)} texts")
+                width = width if width is not None or not got else len(got[0])
+                if any(len(vector) != width for vector in got):
+                    raise ValueError(f"model returned vectors that are not {width} wide")
                 rows += got
             yield pa.array(rows, pa.list_(pa.float32()))
 
     model_text = F.coalesce(F.col(text_col), F.lit(""))
-    return df.withColumn(out_col, encode.asNondeterministic()(model_text))
+    return _dealt(df, tasks).withColumn(out_col, encode.asNondeterministic()(model_text))

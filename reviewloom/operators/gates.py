@@ -25,6 +25,23 @@ def require_input(spark: SparkSession, path: str) -> int:
     return row["bytes"]
 
 
+def input_files(spark: SparkSession, path: str) -> int:
+    """How many files are under a file, folder or glob."""
+    return spark.read.format("binaryFile").load(path).select("path").count()
+
+
+def input_report(spark: SparkSession, inputs: dict[str, str]) -> DataFrame:
+    """(input, there, ok) for every input: whether files are there, and whether they hold bytes."""
+    rows = []
+    for name, path in inputs.items():
+        try:
+            held = require_input(spark, path)
+        except GateError:
+            held = None
+        rows.append((name, held is not None, bool(held)))
+    return spark.createDataFrame(rows, "input string, there boolean, ok boolean")
+
+
 def require_rows(df: DataFrame, name: str) -> int:
     """The row count, which must not be zero. Parquet answers it from file footers."""
     rows = df.count()

@@ -1,20 +1,16 @@
 """Top-k reviews by cosine similarity for a whole table of questions.
 
 Every question has to be compared with every vector, or in the approximate form with
-every vector of the cells it probes. Pairs are scored by matrix products inside tasks, and of
-each Arrow batch only the best k per question become rows. A window with a rank limit,
-which Spark applies in every task before its shuffle and once more after it, makes the
-final ranking.
-
-There are two ways to bring the blocks together, with equal results:
-
-* Few questions (a checked number of rows and bytes): they travel with the task and the
-  vectors are scored where they are read. The vectors are not shuffled, so no key of
-  theirs can be hot.
-* More questions: both sides of every cell are cut into blocks by a hash of their ids, and
-  each block meets the other side's blocks of its cell through a join on the block
-  numbers. Each cell has as many blocks as its own row counts ask for, so a cell that
-  holds a third of all vectors is many blocks, and only such cells send rows twice.
+every vector of the cells it probes. Both sides of a cell are cut into blocks by a hash of
+their ids, and each block meets the other side's blocks of its cell through a join on the
+block numbers. A cell has as many blocks as its bytes ask for, summed inside the plan, so a
+cell that holds a third of all vectors is many blocks. Question blocks are as large as a task
+can hold, so vectors are sent as seldom as possible: once, up to that many bytes of questions.
+The plan is the same for one question and for millions.
+
+Pairs are scored by matrix products inside tasks, and of each block only the best k per
+question become rows. They are ranked in two steps, by question and part and then by question,
+so that one question's hits from all blocks don't meet in a task before they are few.
 """
 
 from __future__ import annotations
@@ -36,13 +32,11 @@ from reviewloom.functions import text
 # Hits per question when answering, and when checking a new vector table.
 TOP_K, CHECK_K = 5, 2
 
-# Beyond either, questions are joined in blocks instead of travelling with the tasks.
-LOCAL_ROWS = 16_384
-LOCAL_BYTES = 64 << 20
-# Rows per block of a join of blocks.
-VECTOR_BLOCK_ROWS = 32_768
-QUESTION_BLOCK_ROWS = 16_384
-SHARES = 16
+# Bytes of a block of vectors and of questions; a task holds one of each.
+VECTOR_BLOCK_BYTES = 32 << 20
+QUESTION_BLOCK_BYTES = 64 << 20
+# Parts of a question's hits that are ranked apart first.
+PARTS = 32
 # Bits of a cell number, so at most 4,096 cells.
 MOST_BITS = 12
 # Elements of one similarity matrix.
@@ -50,23 +44,38 @@ _TILE = 1 << 22
 
 
 def split_questions(questions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected): a question that is null or all whitespace gets a reason."""
+    """(valid, rejected): rejected rows have a reason.
+
+    A question that is null or all whitespace is rejected, and one whose id is null or also the
+    id of another question: hits are kept by question id, so two questions of one id would end
+    up in one ranking.
+    """
     blank = text.is_blank(F.col("question"))
-    reason = F.when(F.col("question").isNull(), "question is null").otherwise("question is empty")
+    reason = (F.when(F.col("question").isNull(), "question is null").when(blank, "question is empty")
+              .otherwise("question_id is null"))
+    unusable = blank | F.col("question_id").isNull()
+    usable = questions.filter(~unusable)
+    repeated = usable.groupBy("question_id").count().filter("count > 1").select("question_id")
     return (
-        questions.filter(~blank),
-        questions.filter(blank).withColumn("reason", reason),
+        usable.join(repeated, "question_id", "left_anti").select(questions.columns),
+        questions.filter(unusable).withColumn("reason", reason).unionByName(
+            usable.join(repeated, "question_id", "left_semi").withColumn(
+                "reason", F.lit("question_id is not unique")).select(*questions.columns, "reason")),
     )
 
 
 def rank_hits(hits: DataFrame, k: int, id_col: str) -> DataFrame:
     """The best k per question with their 1-based rank; ties go to the lower id, and a
-    similarity that is undefined (an all-zero vector) comes last."""
-    best_first = Window.partitionBy("question_id").orderBy(
-        F.desc_nulls_last("similarity"), F.asc(id_col)
-    )
+    similarity that is undefined (an all-zero vector) comes last. Parts of a question's hits
+    are ranked first, so that a question with hits in very many tasks is not one task's."""
+    order = (F.desc_nulls_last("similarity"), F.asc(id_col))
+    by_part = Window.partitionBy("question_id", "part").orderBy(*order)
+    best_first = Window.partitionBy("question_id").orderBy(*order)
     return (
-        hits.withColumn("rank", F.row_number().over(best_first))
+        hits.withColumn("part", F.pmod(F.xxhash64(id_col), F.lit(PARTS)))
+        .withColumn("rank", F.row_number().over(by_part))
+        .filter(F.col("rank") <= k)
+        .withColumn("rank", F.row_number().over(best_first))
         .filter(F.col("rank") <= k)
         .select("question_id", "rank", id_col, "similarity")
     )
@@ -77,17 +86,24 @@ def cosine_topk(
     questions: DataFrame,
     k: int = TOP_K,
     id_col: str = "review_id",
-    local_rows: int = LOCAL_ROWS,
-    local_bytes: int = LOCAL_BYTES,
+    block_bytes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Exact nearest vectors: (question_id, rank, id, similarity).
 
     ``vectors`` has the id column and ``embedding``; ``questions`` has ``question_id`` and
-    ``embedding``. Both ids have to be unique. Runs small jobs to measure the questions.
+    ``embedding``, of float or double. Both ids have to be unique (``split_questions`` sees to
+    that for questions). Both sides are read twice, to be sized and to be scored, so give
+    written tables where they are dear to make. ``block_bytes`` of vectors and of questions
+    meet in a task.
     """
-    v = vectors.select(F.col(id_col).alias("id"), "embedding", F.lit(0).alias("cell"))
+    v = vectors.select(F.col(id_col).alias("id"), "embedding", _one_cell(id_col).alias("cell"))
     q = questions.select("question_id", F.col("embedding").alias("asked"))
-    return _search(v, q, k, id_col, None, local_rows, local_bytes)
+    return _search(v, q, k, id_col, None, block_bytes)
+
+
+def _one_cell(key: str) -> Column:
+    """0 for every row, and no constant: joins by a constant would be planned as loops."""
+    return F.pmod(F.hash(key), F.lit(1))
 
 
 def search_questions(
@@ -172,8 +188,7 @@ def lsh_topk(
     k: int = TOP_K,
     probes: int = 4,
     id_col: str = "review_id",
-    local_rows: int = LOCAL_ROWS,
-    local_bytes: int = LOCAL_BYTES,
+    block_bytes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Nearest vectors among those in the probed cells, as ``cosine_topk`` ranks them.
 
@@ -185,23 +200,15 @@ def lsh_topk(
         raise ValueError("probes must lie between 1 and the number of cells")
     v = vectors.select(F.col(id_col).alias("id"), "embedding", F.col("cell").cast("int").alias("cell"))
     q = questions.select("question_id", F.col("embedding").alias("asked"))
-    return _search(v, q, k, id_col, lambda m: cells.probes(m, probes), local_rows, local_bytes,
-                   width=cells.width)
+    return _search(v, q, k, id_col, lambda m: cells.probes(m, probes), block_bytes, cells.width)
 
 
-# --- the two ways ----------------------------------------------------------------------
+# --- blocks ----------------------------------------------------------------------------
 
 
-def _search(v, q, k, id_col, probe, local_rows, local_bytes, width=None):
-    # One row tells how many fit, so that not even the check brings more to the driver.
-    row_bytes = max(1, q.limit(1).toArrow().nbytes)
-    most = min(local_rows, local_bytes // row_bytes)
-    few = q.limit(most + 1).toArrow()
-    if few.num_rows <= most:
-        hits = _with_the_tasks(v, few.combine_chunks(), q.schema, k, probe, width)
-    else:
-        hits = _by_blocks(v, q, k, probe, width)
-    return rank_hits(hits.withColumnRenamed("id", id_col), k, id_col)
+def _search(v, q, k, id_col, probe, block_bytes, width=None):
+    sizes = block_bytes or (VECTOR_BLOCK_BYTES, QUESTION_BLOCK_BYTES)
+    return rank_hits(_by_blocks(v, q, k, probe, width, *sizes).withColumnRenamed("id", id_col), k, id_col)
 
 
 def _hit_schema(v_schema, q_schema) -> str:
@@ -209,23 +216,7 @@ def _hit_schema(v_schema, q_schema) -> str:
             f"id {v_schema['id'].dataType.simpleString()}, similarity double")
 
 
-def _with_the_tasks(v, few: pa.Table, q_schema, k, probe, width) -> DataFrame:
-    ids = _column(few, "question_id")
-    matrix = _matrix(_column(few, "asked"), width)
-    if probe is None or not len(matrix):
-        asked = Questions(ids, matrix)
-    else:
-        asked = Questions(ids, matrix, probe(matrix))
-        v = v.filter(F.col("cell").isin([int(c) for c in np.unique(asked.cells)]))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from _score(asked, k, *(batch.column(c) for c in ("id", "embedding", "cell")))
-
-    return v.mapInArrow(score, _hit_schema(v.schema, q_schema))
-
-
-def _by_blocks(v, q, k, probe, width) -> DataFrame:
+def _by_blocks(v, q, k, probe, width, v_bytes, q_bytes) -> DataFrame:
     def add_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = probe(_matrix(batch.column("asked"), width))
@@ -234,23 +225,21 @@ def _by_blocks(v, q, k, probe, width) -> DataFrame:
                 ["question_id", "asked", "cells"])
 
     if probe is None:
-        # All questions probe all vectors; shares of them by hash take the part of cells.
-        v = v.withColumn("cell", F.pmod(F.hash("id"), F.lit(SHARES)))
-        probing = q.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+        probing = q.withColumn("cell", _one_cell("question_id"))
     else:
         probing = q.mapInArrow(add_cells, T.StructType([
             *q.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))]))
         probing = probing.withColumn("cell", F.explode("cells")).drop("cells")
 
-    def blocks(df: DataFrame, rows: int, name: str) -> DataFrame:
-        count = F.count(F.lit(1))
-        return df.groupBy("cell").agg(F.ceil(count / rows).cast("int").alias(name))
+    def blocks(df: DataFrame, column: str, most: int, name: str) -> DataFrame:
+        held = F.sum(F.greatest(F.size(column), F.lit(0)) * 8 + 64)
+        return df.groupBy("cell").agg(F.ceil(held / most).cast("int").alias(name))
 
     # One row per cell that has both: at most 2 ** MOST_BITS, so it can be broadcast. Cells
     # that no question probes end here.
     sizes = F.broadcast(
-        blocks(v, VECTOR_BLOCK_ROWS, "v_blocks").join(
-            blocks(probing, QUESTION_BLOCK_ROWS, "q_blocks"), "cell"))
+        blocks(v, "embedding", v_bytes, "v_blocks").join(
+            blocks(probing, "asked", q_bytes, "q_blocks"), "cell"))
 
     def block(key: str, count: str) -> Column:
         return F.pmod(F.xxhash64(key), F.col(count)).cast("int")
@@ -300,15 +289,16 @@ def _column(table: pa.Table, name: str) -> pa.Array:
 
 
 def _matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
-    """Rows of a list column as float32; a null vector is a row of zeros."""
+    """Rows of a list column in its own precision; a null vector is a row of zeros."""
     lengths = pc.list_value_length(column)
     known = pc.unique(lengths.drop_null()).to_pylist()
     if width is None:
         width = known[0] if known else 1
     if any(length != width for length in known):
         raise ValueError(f"vectors of widths {sorted({*known, width})} in one table")
-    out = np.zeros((len(column), width), np.float32)
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
+    kind = np.float64 if pa.types.is_float64(column.type.value_type) else np.float32
+    out = np.zeros((len(column), width), kind)
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False)
     present = np.asarray(column.is_valid())
     out[present] = values.reshape(-1, width)
     return out
@@ -325,7 +315,7 @@ def _norms(matrix: np.ndarray) -> np.ndarray:
 
 
 def _units(matrix: np.ndarray, norms: np.ndarray) -> np.ndarray:
-    units = np.zeros_like(matrix)
+    units = np.zeros(matrix.shape, np.float32)
     np.divide(matrix, norms[:, None], out=units, where=(norms > 0)[:, None], casting="unsafe")
     return units
 
@@ -402,7 +392,7 @@ def _similarity(matrix, norms, rows, asked: Questions, questions) -> np.ndarray:
     for start in range(0, len(rows), step):
         at = slice(start, start + step)
         r, q = rows[at], questions[at]
-        products = matrix[r].astype(np.float64) * asked.matrix[q]
+        products = matrix[r].astype(np.float64) * asked.matrix[q].astype(np.float64)
         lengths = norms[r] * asked.norms[q]
         np.divide(products.sum(axis=1), lengths, out=out[at], where=lengths > 0)
     return out
@@ -410,7 +400,7 @@ def _similarity(matrix, norms, rows, asked: Questions, questions) -> np.ndarray:
 
 def _lowest_of_equals(matrix: np.ndarray, k: int) -> np.ndarray:
     """Positions of the first k rows of each set of equal rows, in order."""
-    raw = np.ascontiguousarray(matrix + np.float32(0))  # -0.0 becomes 0.0
+    raw = np.ascontiguousarray(matrix + matrix.dtype.type(0))  # -0.0 becomes 0.0
     rows = raw.view(np.dtype((np.void, raw.dtype.itemsize * raw.shape[1]))).ravel()
     _, group = np.unique(rows, return_inverse=True)
     order = np.argsort(group, kind="stable")

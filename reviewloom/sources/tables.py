@@ -27,18 +27,6 @@ def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True
     )
 
 
-def read_reviews_csv(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True
-) -> DataFrame:
-    return read_csv(spark, path, multi_line)
-
-
-def read_products_csv(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True
-) -> DataFrame:
-    return read_csv(spark, path, multi_line)
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -53,10 +41,15 @@ def write_table(
     """Replace a Parquet table.
 
     ``files`` asks for a number of files by a shuffle at the end, so the work before it
-    stays parallel; by default every task writes its own.
+    stays parallel; by default every task writes its own. With ``partition_by`` rows are
+    first dealt by those columns, so that a folder gets a file or a few and not one of every
+    task; Spark splits what a frequent value would make too large for a task.
     """
     if files is not None:
         df = df.repartition(files)
+    elif partition_by:
+        columns = ", ".join("`" + c.replace("`", "``") + "`" for c in partition_by)
+        df = df.sparkSession.sql(f"SELECT /*+ REBALANCE({columns}) */ * FROM {{rows}}", rows=df)
     writer = df.write.mode("overwrite").option("compression", "snappy")
     if max_rows_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)

@@ -103,3 +103,22 @@ def test_vector_rows_default_nulls(spark):
     assert embed.vector_rows(df).first().asDict() == {
         "review_id": "7", "embedding": [1.0], "document": "", "product_id": "p", "rating": 0,
         "review_title": ""}
+
+
+def test_models_run_in_as_many_tasks_as_asked(spark):
+    df = spark.createDataFrame([(i % 50, f"text {i}") for i in range(400)], "k int, embed_text string")
+    one = df.dropDuplicates(["k"])
+    for first in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", first)
+        try:
+            for made in (embed.hashed_embeddings(one, tasks=7),
+                         embed.embed_with(one, lambda: lambda texts: [[1.0]] * len(texts), tasks=7)):
+                assert made.rdd.getNumPartitions() == 7
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+
+
+def test_vectors_of_unequal_width_are_an_error(spark):
+    df = spark.createDataFrame([("a",), ("bb",)], "embed_text string").coalesce(1)
+    with pytest.raises(Exception, match="wide"):
+        embed.embed_with(df, lambda: lambda texts: [[1.0] * len(t) for t in texts]).collect()

@@ -1,7 +1,7 @@
 import pytest
 
 from reviewloom.__main__ import main
-from reviewloom.operators import gates
+from reviewloom.operators import embed, gates
 from reviewloom.plans import stages
 from reviewloom.sources import tables
 from test_tables import HEADER, write
@@ -23,14 +23,33 @@ def paths(tmp_path):
 
 
 def test_run(spark, paths):
-    report = stages.run(spark, paths)
+    report = stages.run(spark, paths, count_raw=True)
     assert report.rows == {"reviews": 2, "products": 1, "vectors": 2}
     assert report.raw_rows == {"reviews": 4, "products": 2}
     assert report.dropped("reviews") == 2 and report.dropped("products") == 1
     assert report.input_bytes["reviews"] > len(HEADER)
     vectors = tables.read_table(spark, paths.vectors)
     assert vectors.columns == [
-        "review_id", "embedding", "document", "product_id", "rating", "review_title"]
+        "review_id", "embedding", "document", "product_id", "rating", "review_title", "shard"]
+
+
+def test_large_multi_line_files_are_named(spark, paths, monkeypatch):
+    monkeypatch.setattr(stages, "LARGE_FILE", 10)
+    with pytest.warns(UserWarning, match="multi-line"):
+        stages.run(spark, paths)
+
+
+def test_the_search_that_closes_the_vector_stage(spark, paths):
+    stages.run(spark, paths)
+    asked = spark.createDataFrame([(1, "great sound"), (2, " ")], "question_id bigint, question string")
+    rows = stages.check_search(
+        spark, paths, asked, lambda q: embed.hashed_embeddings(q, "question")).orderBy("rank").collect()
+    assert [r["rank"] for r in rows] == [1, 2] and "sound" in rows[0]["document"]
+
+
+def test_inputs_as_rows(spark, paths):
+    report = gates.input_report(spark, {"reviews": paths.raw_reviews, "none": "/nowhere/x.csv"})
+    assert sorted(map(tuple, report.collect())) == [("none", False, False), ("reviews", True, True)]
 
 
 def test_a_second_run_gives_the_same_tables(spark, paths):
@@ -57,7 +76,7 @@ def test_an_empty_output_stops_the_run(spark, paths):
 
 def test_vectors_of_other_reviews_are_noticed(spark, paths):
     stages.run(spark, paths)
-    vectors = tables.read_table(spark, paths.vectors).limit(1).collect()
+    vectors = tables.read_table(spark, paths.vectors).drop("shard").limit(1).collect()
     tables.write_table(
         spark.createDataFrame(vectors, "review_id string, embedding array<float>, document string,"
                               " product_id string, rating int, review_title string"), paths.vectors)

@@ -23,7 +23,7 @@ def test_cells_survive_as_text(spark, tmp_path):
         "u,TRUE,,Black,,10/3/17,none,Echo,5,\n",
         "u,t,   ,Black,,10/3/17,none,Echo,5,\n",
     )
-    df = tables.read_reviews_csv(spark, path)
+    df = tables.read_csv(spark, path)
     assert {t for _, t in df.dtypes} == {"string"}
     rows = df.collect()
     assert [r["Title"] for r in rows] == ["Good", "007", "TRUE", "t"]
@@ -39,22 +39,22 @@ def test_many_files_and_globs(spark, tmp_path):
     line = "u,t,text {},Black,,10/3/2017,1,Echo,5,\n"
     for i in range(3):
         write(tmp_path / f"part{i}.csv", line.format(i))
-    assert tables.read_reviews_csv(spark, str(tmp_path)).count() == 3
-    assert tables.read_reviews_csv(spark, str(tmp_path / "part[01].csv")).count() == 2
-    assert tables.read_reviews_csv(spark, [str(tmp_path / "part0.csv")]).count() == 1
-    assert tables.read_reviews_csv(spark, str(tmp_path), multi_line=False).count() == 3
+    assert tables.read_csv(spark, str(tmp_path)).count() == 3
+    assert tables.read_csv(spark, str(tmp_path / "part[01].csv")).count() == 2
+    assert tables.read_csv(spark, [str(tmp_path / "part0.csv")]).count() == 1
+    assert tables.read_csv(spark, str(tmp_path), multi_line=False).count() == 3
 
 
 def test_a_file_with_other_headers_is_an_error(spark, tmp_path):
     write(tmp_path / "a.csv", "1,x\n", header="id,title\n")
     write(tmp_path / "b.csv", "x,1\n", header="title,id\n")
     with pytest.raises(Exception, match="header"):
-        tables.read_products_csv(spark, str(tmp_path)).collect()
+        tables.read_csv(spark, str(tmp_path)).collect()
 
 
 def test_a_missing_file_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        tables.read_reviews_csv(spark, str(tmp_path / "none.csv"))
+        tables.read_csv(spark, str(tmp_path / "none.csv"))
 
 
 def test_write_replaces_and_controls_files(spark, folder):
@@ -79,3 +79,10 @@ def test_read_if_there(spark, folder):
     assert tables.read_if_there(spark, folder + "/empty") is None
     tables.write_table(spark.range(2), folder + "/t")
     assert tables.read_if_there(spark, folder + "/t").count() == 2
+
+
+def test_folders_get_few_files(spark, folder):
+    rows = spark.range(4000).selectExpr("id", "cast(id % 16 AS int) AS cell").repartition(8)
+    tables.write_table(rows, folder + "/t", partition_by=["cell"])
+    files = [f for _, _, names in os.walk(folder + "/t") for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2 * 16 and tables.read_table(spark, folder + "/t").count() == 4000
