@@ -684,25 +684,27 @@ usable AS (
   WHERE role = 'user' AND trim(text, concat(' ', chr(9), chr(10), chr(13))) <> ''),
 questions AS (SELECT question_id, question FROM usable WHERE same = 1)""")
 
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _block() -> str:
+    """A review's block as SQL, from the operator's own format."""
+    values = ["rank", "rating", "coalesce(review_title, '')", "review_text"]
+    parts = prompts.REVIEW_BLOCK.replace("%d", "%s").split("%s")
+    return f"concat({', '.join(x for pair in zip(map(_sql, parts), values) for x in pair)}, {_sql(parts[-1])})"
+
+
+_BLOCK = _block()
 _PROMPTS = f"""{_TEXT_HITS},
 contexts AS (
-  SELECT question_id, string_agg(concat(
-    chr(10), 'Review ', rank, ':', chr(10),
-    '  Rating    : ', rating, ' out of 5 stars', chr(10),
-    '  Title     : ', coalesce(review_title, ''), chr(10),
-    '  Review    : ', review_text, chr(10), '---'), '' ORDER BY rank) AS context
+  SELECT question_id, string_agg({_BLOCK}, '' ORDER BY rank) AS context
   FROM ranked GROUP BY 1),
 prompts AS (
   SELECT question_id, question, concat(
-    'You are a helpful e-commerce product assistant for {PRODUCT}.', chr(10),
-    'Answer the user''s question using ONLY the customer reviews provided below.', chr(10),
-    'If the answer is not in the provided reviews, say "I don''t have enough information from',
-    ' the reviews to answer that."', chr(10),
-    'Do not make up features, prices, or facts.', chr(10),
-    'Always mention specific details from the reviews in your answer.', chr(10),
-    'Keep your answer concise — 3 to 5 sentences.', chr(10), chr(10),
-    'CUSTOMER REVIEWS:', chr(10), context, chr(10), chr(10),
-    'USER QUESTION: ', question, chr(10), chr(10), 'YOUR ANSWER:') AS prompt
+    {_sql(prompts.INSTRUCTIONS.format(product=PRODUCT))}, {_sql(prompts.REVIEWS_HEADING)}, context,
+    {_sql(prompts.QUESTION_HEADING)}, question, {_sql(prompts.ANSWER_CUE)}) AS prompt
   FROM questions JOIN contexts USING (question_id)),
 answers AS (
   SELECT question_id, sha256(prompt) AS prompt_hash,
