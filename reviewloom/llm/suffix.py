@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -388,12 +389,13 @@ def _split(docs: DataFrame) -> DataFrame:
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
             texts, sizes = _bytes_of(run)
-            keep = pa.compute.or_(run.column("hits").is_valid(), run.column("copied"))
+            keep = pa.compute.or_(run.column("hits").is_valid(), run.column("copied")).to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [run.column("id"), run.column("text_hash"), pa.array(sizes),
                  pa.array([None if k else hashlib.sha256(t).hexdigest()
-                           for t, k in zip(texts, keep.to_pylist(), strict=True)], pa.string()),
-                 pa.compute.if_else(keep, run.column("text"), pa.scalar(None, pa.string())),
+                           for t, k in zip(texts, keep, strict=True)], pa.string()),
+                 pa.array([t.decode("utf-8", "surrogatepass") if k else None
+                           for t, k in zip(texts, keep, strict=True)], pa.string()),
                  run.column("hits"), run.column("copied")],
                 ["id", "text_hash", "n_bytes", "kept_sha256", "text", "hits", "copied"])
 
