@@ -22,7 +22,7 @@ RUN_ROWS, RUN_BYTES, BUCKET = 2000, 6 << 20, 1 << 20
 #: Stands for a null id: smaller than all others.
 NO_ID = -(1 << 63)
 
-_PACKED = ("bucket int, run long, ids array<long>, text_hashes array<long>, sizes binary,"
+_PACKED = ("bucket int, run long, rank long, ids array<long>, text_hashes array<long>, sizes binary,"
            " sure binary, hashes binary, places binary")
 _MARKED = "run long, ids array<long>, text_hashes array<long>, sizes binary, sure binary, places binary"
 
@@ -74,12 +74,13 @@ def runs(batches: Iterator[pa.RecordBatch], most: int = RUN_BYTES) -> Iterator[p
 
 
 def packed(run: pa.RecordBatch, sizes: np.ndarray, hashes: np.ndarray, places: np.ndarray,
-           buckets: int, width: int, flags: np.ndarray | None = None, everywhere: bool = False,
+           buckets: int, width: int, flags: np.ndarray | None = None, rank: int = 0,
            sure: np.ndarray | None = None) -> pa.RecordBatch:
     """Rows for the buckets of a run. sizes: places of each document in order; hashes at ascending
     places. width: bytes of a hash; with flags, its lowest bit. sure: places marked already, so
     that of a hash with many places in a run one goes to its bucket. The run's documents and sure
-    places are in the first row; the documents everywhere if asked for."""
+    places are in its first row alone, so that a row's cost doesn't grow with the run. rank: by
+    which a rule can order runs; it is in every row."""
     bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(bucket.astype(np.uint16 if buckets <= 65536 else np.int64), kind="stable")
     kept = hashes if width == 8 else hashes.astype(np.uint32)
@@ -92,20 +93,20 @@ def packed(run: pa.RecordBatch, sizes: np.ndarray, hashes: np.ndarray, places: n
     about = [ids.to_pylist(), texts.to_pylist(), sizes.astype("<i4").tobytes()]
     key = xxhash.xxh3_64_intdigest(np.array(about[0] + about[1], dtype="<i8").tobytes()) - (1 << 63)
     n = len(starts)
-    told = [x if i == 0 or everywhere else None for x in about for i in range(n)]
+    told = [x if i == 0 else None for x in about for i in range(n)]
     decided = [gaps(sure) if i == 0 and sure is not None else None for i in range(n)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[starts], pa.int32()), pa.array([key] * n, pa.int64()),
+        [pa.array(bucket[starts], pa.int32()), pa.array([key] * n, pa.int64()), pa.array([rank] * n, pa.int64()),
          pa.array(told[:n], pa.list_(pa.int64())), pa.array(told[n:2 * n], pa.list_(pa.int64())),
          pa.array(told[2 * n:], pa.binary()), pa.array(decided, pa.binary()),
          pa.array([kept[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
          pa.array([gaps(places[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary())],
-        ["bucket", "run", "ids", "text_hashes", "sizes", "sure", "hashes", "places"])
+        ["bucket", "run", "rank", "ids", "text_hashes", "sizes", "sure", "hashes", "places"])
 
 
-def once(hashes: np.ndarray, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(first, again): where a hash comes first in that order, and where it came before."""
-    by = np.argsort(hashes, kind="stable") if order is None else order[np.argsort(hashes[order], kind="stable")]
+def once(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, again): where a hash comes first, and where it came before."""
+    by = np.argsort(hashes, kind="stable")
     again = np.zeros(len(hashes), bool)
     again[1:] = hashes[by][1:] == hashes[by][:-1]
     return by[~again], by[again]

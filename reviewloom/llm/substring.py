@@ -76,22 +76,13 @@ def _hits(hashes: np.ndarray, rows: list[dict]) -> np.ndarray:
 
 
 def _not_first(hashes: np.ndarray, rows: list[dict]) -> np.ndarray:
-    """Windows whose value is also at an earlier place: smaller id, or same id and earlier start."""
-    ids, starts = [], []
-    for row in rows:
-        ends = np.cumsum(np.frombuffer(row["sizes"], "<i4"), dtype=np.int64)
-        places = places_of(row["places"])
-        of = np.searchsorted(ends, places, side="right")
-        ids.append(np.array(row["ids"], dtype=np.int64)[of])
-        starts.append(places - np.concatenate(([0], ends))[of])
-    ids, starts = np.concatenate(ids), np.concatenate(starts)
-    order = np.lexsort((starts, ids, hashes))
-    h, i, s = hashes[order], ids[order], starts[order]
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
-    first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-    found = np.zeros(len(h), bool)
-    found[order] = (i != i[first]) | (s != s[first])
+    """Windows whose value is also at an earlier place. Runs hold documents by ascending id and
+    are ranked by their first, so that rank and place order all windows."""
+    places = [places_of(r["places"]) for r in rows]
+    ranks = np.repeat([r["rank"] for r in rows], [len(x) for x in places])
+    order = np.lexsort((np.concatenate(places), ranks, hashes))
+    found = np.zeros(len(hashes), bool)
+    found[order[1:]] = hashes[order[1:]] == hashes[order[:-1]]
     return found
 
 
@@ -114,8 +105,14 @@ def _extended(held: DataFrame, window: int, buckets: int) -> DataFrame:
     block = block_words(window)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, last = WordHashes(), None
         for run in runs(batches):
+            keys = list(zip(run.column("id").to_pylist(), run.column("text_hash").to_pylist(), strict=True))
+            fresh = [k != before for k, before in zip(keys, [last, *keys], strict=False)]
+            last = keys[-1]
+            run = run.filter(pa.array(fresh))  # a repeated row is the same document
+            if not len(run):
+                continue
             words, sizes = _all_words(run, known)
             hashes = windows(words, window)
             begin = np.cumsum(sizes) - sizes
@@ -123,41 +120,47 @@ def _extended(held: DataFrame, window: int, buckets: int) -> DataFrame:
                 begin[i] + _starts(x, int(sizes[i]), block, window)
                 for i, x in enumerate(run.column("hits").to_pylist())])
             if len(places):
-                of = np.searchsorted(np.cumsum(sizes), places, side="right")
-                ids = run.column("id").to_numpy()[of]
-                starts = places - begin[of]
-                by = np.lexsort((starts, ids))
-                first, again = once(hashes[places], by)
-                sure, first = np.sort(places[again]), np.sort(first)
-                if len(np.unique(run.column("id").to_numpy())) < len(sizes):  # rows of one id: none is sure
-                    first, sure = np.arange(len(places)), places[:0]
+                first, again = once(hashes[places])
+                first = np.sort(first)
                 yield packed(run, sizes, hashes[places[first]], places[first], buckets, 8,
-                             everywhere=True, sure=sure)
+                             rank=run.column("id")[0].as_py(), sure=np.sort(places[again]))
 
-    return held.mapInArrow(made, _PACKED)
+    ordered = held.repartitionByRange("id").sortWithinPartitions("id", "text_hash")
+    return ordered.mapInArrow(made, _PACKED)
 
 
 def _sha(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _split_by_hits(docs: DataFrame) -> DataFrame:
-    """Results of documents without hits; texts and hits of the others."""
+def _split_by_hits(docs: DataFrame, window: int) -> DataFrame:
+    """Results of documents without hits and of copies; texts and hits of the others.
+
+    A copy of a whole text with a smaller id repeats all its windows.
+    """
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
-            hits = run.column("hits")
+            hits = run.column("hits").to_pylist()
             texts = run.column("text").to_pylist()
-            words = [spaced_words(x) for x in texts]
+            out = []
+            for text, found, copied in zip(texts, hits, run.column("copied").to_pylist(), strict=True):
+                words = spaced_words(text)
+                if copied and len(words) >= window:
+                    out.append((len(words), len(words), _sha([]), "", None, None))
+                elif copied or found is None:
+                    out.append((len(words), 0, _sha(words), None, None, None))
+                else:
+                    out.append((len(words), 0, None, None, text, found))
             yield pa.RecordBatch.from_arrays(
-                [run.column("id"), run.column("text_hash"),
-                 pa.array([len(w) for w in words], pa.int64()),
-                 pa.array([None if h.is_valid else _sha(w) for w, h in zip(words, hits, strict=True)], pa.string()),
-                 pa.array([t if h.is_valid else None for t, h in zip(texts, hits, strict=True)], pa.string()), hits],
-                ["id", "text_hash", "n_words", "kept_sha256", "text", "hits"])
+                [run.column("id"), run.column("text_hash"), *(
+                    pa.array(x, t) for x, t in zip(zip(*out, strict=True), (
+                        pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(),
+                        pa.list_(pa.binary())), strict=True))],
+                ["id", "text_hash", "n_words", "n_removed", "kept_sha256", "kept", "text", "hits"])
 
-    return docs.mapInArrow(judged, "id long, text_hash long, n_words long, kept_sha256 string,"
-                                   " text string, hits array<binary>")
+    return docs.mapInArrow(judged, "id long, text_hash long, n_words long, n_removed long,"
+                                   " kept_sha256 string, kept string, text string, hits array<binary>")
 
 
 def _cut(rows: DataFrame, window: int) -> DataFrame:
@@ -194,17 +197,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     Every word goes that a window covers whose words also start earlier: in a document with a
     smaller id, or earlier in the same one. Ids are integers; a null id is smaller than all. Null
     or empty text has no words. Repeated rows are one document, and each gets its result; rows of
-    one id with different texts are documents that don't come before each other at equal places.
-    Windows are equal if their 64-bit hashes are. Other columns are not read.
+    one id with different texts are documents in the order of their hashes. Windows are equal if
+    their 64-bit hashes are. Other columns are not read.
     """
     source = keyed(docs, id_col, text)
     buckets = bucket_count(source, "text", 6)
+    rows = source.select("id", "text_hash", F.octet_length("text").alias("size"))
+    first = rows.groupBy("text_hash", "size").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    copies = (rows.join(first.where("least < most"), ["text_hash", "size"]).where("id > least")
+              .select("id", "text_hash").distinct().withColumn("copied", F.lit(True)))
     probed = answered(_probes(source, window, buckets), _hits, 4, _as_bytes)
-    with_hits = source.join(gathered(probed, "hits"), ["id", "text_hash"], "left")
-    split = written(_split_by_hits(with_hits))
+    known = gathered(probed, "hits").join(copies, ["id", "text_hash"], "full")
+    with_hits = source.join(known, ["id", "text_hash"], "left").withColumn(
+        "copied", F.coalesce("copied", F.lit(False)))
+    split = written(_split_by_hits(with_hits, window))
     held = split.where("text IS NOT NULL").select("id", "text_hash", "text", "hits")
     repeated = answered(_extended(held, window, buckets), _not_first, 8, _as_bytes)
     rows = held.select("id", "text_hash", "text").join(gathered(repeated, "found"), ["id", "text_hash"], "left")
-    whole = split.where("text IS NULL").select(
-        "id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept"))
+    whole = split.where("text IS NULL").select("id", "n_words", "n_removed", "kept_sha256", "kept")
     return whole.unionByName(_cut(rows, window)).select(own_id(id_col), "n_words", "n_removed", "kept_sha256", "kept")
