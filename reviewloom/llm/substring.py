@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.llm.common import written
 from reviewloom.llm.exchange import (
-    _PACKED, answered, bucket_count, keyed, once, own_id, packed, places_of, runs,
+    _PACKED, answered, bucket_count, gaps, keyed, once, own_id, packed, places_of, runs,
 )
 from reviewloom.llm.hashing import WordHashes, spaced_words, windows
 
@@ -86,15 +86,15 @@ def _not_first(hashes: np.ndarray, rows: list[dict]) -> np.ndarray:
     return found
 
 
-def _as_bytes(size: int, places: np.ndarray) -> bytes:
-    return places.astype("<i4").tobytes()
+def _as_gaps(size: int, places: np.ndarray) -> bytes:
+    return gaps(places)
 
 
 def _starts(found: list[bytes], n: int, block: int, window: int) -> np.ndarray:
     """Starts of the windows that hold a hit."""
     marked = np.zeros(n + 1, dtype=np.int32)
     for data in found:
-        places = np.frombuffer(data, "<i4")
+        places = places_of(data)
         places = places[places + block <= n]
         np.add.at(marked, np.maximum(places - (window - block), 0), 1)
         np.add.at(marked, places + 1, -1)
@@ -171,7 +171,7 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
                 words = spaced_words(text)
                 change = np.zeros(len(words) + 1, dtype=np.int32)
                 for data in found or ():
-                    starts = np.frombuffer(data, "<i4")
+                    starts = places_of(data)
                     np.add.at(change, starts, 1)
                     np.add.at(change, starts + window, -1)
                 gone = np.cumsum(change)[:-1] > 0
@@ -206,13 +206,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     first = rows.groupBy("text_hash", "size").agg(F.min("id").alias("least"), F.max("id").alias("most"))
     copies = (rows.join(first.where("least < most"), ["text_hash", "size"]).where("id > least")
               .select("id", "text_hash").distinct().withColumn("copied", F.lit(True)))
-    probed = answered(_probes(source, window, buckets), _hits, 4, _as_bytes)
+    probed = answered(_probes(source, window, buckets), _hits, 4, _as_gaps)
     known = gathered(probed, "hits").join(copies, ["id", "text_hash"], "full")
     with_hits = source.join(known, ["id", "text_hash"], "left").withColumn(
         "copied", F.coalesce("copied", F.lit(False)))
     split = written(_split_by_hits(with_hits, window))
     held = split.where("text IS NOT NULL").select("id", "text_hash", "text", "hits")
-    repeated = answered(_extended(held, window, buckets), _not_first, 8, _as_bytes)
+    repeated = answered(_extended(held, window, buckets), _not_first, 8, _as_gaps)
     rows = held.select("id", "text_hash", "text").join(gathered(repeated, "found"), ["id", "text_hash"], "left")
     whole = split.where("text IS NULL").select("id", "n_words", "n_removed", "kept_sha256", "kept")
     return whole.unionByName(_cut(rows, window)).select(own_id(id_col), "n_words", "n_removed", "kept_sha256", "kept")
