@@ -3,12 +3,14 @@
 A text is a vector of hashed character n-grams (1 to 3), weighed by logarithm of the count and
 inverse document frequency and normalised. Every language has several centroids, clustered from
 a bounded sample of its texts; a text takes the language of the centroid with the largest cosine.
-A text that is much further away than the learnt texts of that centroid is rejected.
+A text that is much further away than texts of that language with as many distinct n-grams, which
+were held out of the clustering, is rejected.
 """
 
 from __future__ import annotations
 
 import sys
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,9 +23,16 @@ BITS = 12
 DIMS = 1 << BITS
 #: Bounds of the fit: texts by language, texts of all languages, centroids a language.
 SAMPLE_EACH, SAMPLE_ALL, CENTROIDS = 250, 4000, 3
-#: A text is rejected below this share of the cosine that nearly all learnt texts of its language
-#: reach (all but REJECT_TAIL of them); low enough for texts of a word or two.
-REJECT_SHARE, REJECT_TAIL = 0.2, 0.01
+#: A text is rejected below this share of the cosine that nearly all held-out texts of its language
+#: and of as many distinct n-grams reach (all but REJECT_TAIL of them).
+REJECT_SHARE, REJECT_TAIL = 0.7, 0.01
+#: Held-out texts: folds, code points of the beginnings that are judged as texts of their own
+#: besides the whole text, and how many cosines a number of n-grams needs to be judged by its own.
+FOLDS, BEGINNINGS, ENOUGH = 5, (12, 25, 50, 100, 200, 400, 800, 1600), 20
+#: The share for a language of too few texts to hold any out, of the cosine its learnt texts reach.
+UNTESTED_SHARE = 0.2
+#: Logarithms (base 2) of the numbers of distinct n-grams for which a least cosine is learnt.
+STEPS = np.arange(2, BITS + 0.5, 0.5)
 UNKNOWN = "und"
 _CHUNK = 1 << 20
 
@@ -81,7 +90,8 @@ def held_out(id_col: str | Column) -> Column:
 
 @dataclass(frozen=True)
 class Model:
-    """centroids: a row each, with its language's place in langs and the least cosine."""
+    """centroids: a row each, with its language's place in langs and the least cosine for each of
+    STEPS, between which it is interpolated."""
 
     langs: list[str]
     lang_of: np.ndarray
@@ -99,7 +109,8 @@ class Model:
         cosine = self.centroids[:, held] @ vector / (np.sqrt(vector @ vector) or 1.0)
         best = int(np.argmax(cosine))
         score = float(min(1.0, max(0.0, cosine[best])))
-        return self.langs[self.lang_of[best]], score, score < self.least[best]
+        least = np.interp(np.log2(len(held)), STEPS, self.least[best])
+        return self.langs[self.lang_of[best]], score, bool(score < least)
 
 
 def cluster(vectors: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
@@ -133,8 +144,9 @@ def _document_frequencies(rows: DataFrame) -> np.ndarray:
     return found
 
 
-def _sample(rows: DataFrame, langs: dict[str, int], each: int, seed: int) -> list[tuple[str, np.ndarray]]:
-    """At most `each` texts of each language, those with the smallest hashes of id and text."""
+def _sample(rows: DataFrame, langs: dict[str, int], each: int, seed: int) -> list[tuple[str, np.ndarray, str]]:
+    """(language, counts, beginning) of at most `each` texts of each language, those with the
+    smallest hashes of id and text."""
     space = 1 << 40
     share = F.create_map(*[x for lang, n in langs.items() for x in (
         F.lit(lang), F.lit(int(space * min(1.0, 2.0 * each / n))))])
@@ -146,23 +158,58 @@ def _sample(rows: DataFrame, langs: dict[str, int], each: int, seed: int) -> lis
             for lang, rank, text in batch.to_pylist() and zip(*batch.to_pydict().values(), strict=True):
                 counts = gram_counts(text or "")
                 if counts is not None:
-                    kept.append((lang, rank, counts.astype("<i4").tobytes()))
+                    kept.append((lang, rank, counts.astype("<i4").tobytes(), text[:BEGINNINGS[-1]].encode(
+                        "utf-8", "surrogatepass")))
             if kept:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*kept, strict=True), (
-                        pa.string(), pa.int64(), pa.binary()), strict=True)], ["lang", "rank", "counts"])
+                        pa.string(), pa.int64(), pa.binary(), pa.binary()), strict=True)],
+                    ["lang", "rank", "counts", "beginning"])
 
     chosen = rows.withColumn("rank", rank).where(F.col("rank") < F.element_at(share, F.col("lang")))
     got = sorted(map(tuple, chosen.select("lang", "rank", "text").mapInArrow(
-        counted, "lang string, rank long, counts binary").collect()))
+        counted, "lang string, rank long, counts binary, beginning binary").collect()))
     found, taken = [], {}
-    for lang, _, counts in got:
+    for lang, _, counts, beginning in got:
         taken[lang] = taken.get(lang, 0) + 1
         if taken[lang] <= each:
-            found.append((lang, np.frombuffer(counts, "<i4")))
+            found.append((lang, np.frombuffer(counts, "<i4"), bytes(beginning).decode("utf-8", "surrogatepass")))
     return found
 
 
+def _held_out_cosines(vectors: np.ndarray, texts: list[tuple[np.ndarray, str]], idf: np.ndarray,
+                      centroids: int) -> list[tuple[int, float]]:
+    """(distinct n-grams, cosine with the language) of each text and its beginnings, with a fold of
+    the texts held out at a time; copies of a text are in one fold."""
+    found = []
+    fold = np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) % FOLDS for _, x in texts])
+    for out in range(FOLDS):
+        seen = vectors[fold != out]
+        if len(seen) < FOLDS:
+            continue
+        centres, _ = cluster(seen, centroids)
+        for place in np.flatnonzero(fold == out).tolist():
+            counts, text = texts[place]
+            parts = [counts] + [gram_counts(text[:n]) for n in BEGINNINGS if n < len(text)]
+            for part in parts:
+                if part is not None:
+                    found.append((int((part > 0).sum()), float((centres @ _weighed(part, idf)).max())))
+    return found
+
+
+def _least_cosines(found: list[tuple[int, float]]) -> np.ndarray | None:
+    """The least cosine for each of STEPS, or None if too few are known. It never falls as a text
+    grows; steps of too few cosines take theirs from those beside them."""
+    step = np.rint(2 * (np.log2([n for n, _ in found] or [1]) - STEPS[0])).clip(0, len(STEPS) - 1)
+    cosines = np.array([x for _, x in found] or [0.0])
+    known = [i for i in range(len(STEPS)) if (step == i).sum() >= ENOUGH]
+    if not known:
+        return None
+    least = [REJECT_SHARE * np.quantile(cosines[step == i], REJECT_TAIL) for i in known]
+    least = np.minimum.accumulate(least[::-1])[::-1]
+    return np.interp(STEPS, STEPS[known], least)
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
         sample_each: int = SAMPLE_EACH, sample_all: int = SAMPLE_ALL, centroids: int = CENTROIDS,
         seed: int = 0) -> Model:
@@ -179,20 +226,23 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text: str = "text", lang: s
     if len(langs) > sample_all:
         raise ValueError(f"over {sample_all} languages")
     if not langs:
-        return Model([], np.zeros(0, int), np.zeros((0, DIMS)), np.zeros(0), np.ones(DIMS))
+        return Model([], np.zeros(0, int), np.zeros((0, DIMS)), np.zeros((0, len(STEPS))), np.ones(DIMS))
     held = _document_frequencies(rows)
     idf = np.log((1 + held[-1]) / (1 + held[:-1])) + 1
-    by_lang: dict[str, list[np.ndarray]] = {}
-    for name, counts in _sample(rows, langs, min(sample_each, sample_all // len(langs)), seed):
-        by_lang.setdefault(name, []).append(_weighed(counts, idf))
+    by_lang: dict[str, list[tuple[np.ndarray, str]]] = {}
+    for name, counts, beginning in _sample(rows, langs, min(sample_each, sample_all // len(langs)), seed):
+        by_lang.setdefault(name, []).append((counts, beginning))
     names, of, found, least = sorted(by_lang), [], [], []
     for place, name in enumerate(names):
-        vectors = np.stack(by_lang[name])
+        vectors = np.stack([_weighed(x, idf) for x, _ in by_lang[name]])
         centres, near = cluster(vectors, centroids)
         cosines = (vectors * centres[near]).sum(axis=1)
         found += list(centres)
         of += [place] * len(centres)
-        least += [REJECT_SHARE * np.quantile(cosines, REJECT_TAIL)] * len(centres)
+        tested = _least_cosines(_held_out_cosines(vectors, by_lang[name], idf, centroids))
+        if tested is None:
+            tested = np.full(len(STEPS), UNTESTED_SHARE * np.quantile(cosines, REJECT_TAIL))
+        least += [tested] * len(centres)
     return Model(names, np.array(of, int), np.array(found), np.array(least), idf)
 
 

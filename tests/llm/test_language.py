@@ -1,5 +1,8 @@
 """Language identification: held-out accuracy, rejection and awkward rows."""
 
+import base64
+import random
+
 import numpy as np
 from helpers import awkward, documents, nothing
 from pyspark.sql import functions as F
@@ -7,6 +10,12 @@ from pyspark.sql import functions as F
 from reviewloom.llm import language
 
 DATA = "/root/testdata/sf0.01/documents.parquet"
+ITALIAN = ("Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita. Ahi"
+           " quanto a dir qual era è cosa dura questa selva selvaggia e aspra e forte che nel pensier rinova la paura.")
+POLISH = ("Litwo, ojczyzno moja, ty jesteś jak zdrowie, ile cię trzeba cenić, ten tylko się dowie, kto cię stracił."
+          " Dziś piękność twą w całej ozdobie widzę i opisuję, bo tęsknię po tobie.")
+FINNISH = ("Mieleni minun tekevi, aivoni ajattelevi lähteäni laulamahan, saa'ani sanelemahan, sukuvirttä suoltamahan,"
+           " lajivirttä laulamahan. Sanat suussani sulavat, puhe'et putoelevat.")
 
 
 def test_held_out_accuracy(spark):
@@ -28,6 +37,18 @@ def test_far_texts_are_rejected(spark):
     assert [r.lang_pred for r in rows[3:]] == ["und"] * 3
 
 
+def test_gibberish_and_unlearned_languages_are_rejected(spark):
+    rng = random.Random(1)
+    docs = spark.read.parquet(DATA).select("doc_id", "text", "lang", language.held_out("doc_id").alias("out"))
+    model = language.fit(docs.where("NOT out"))
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(4000))
+    far = [letters, letters[:600], base64.b64encode(rng.randbytes(900)).decode(), ITALIAN, POLISH, FINNISH]
+    assert [model.predict(x)[2] for x in far] == [True] * len(far)
+    assert model.predict("That it.")[2] is False
+    kept = language.identify(docs.where("out AND text RLIKE '[A-Za-z]'"), model)
+    assert kept.where("rejected").isEmpty()
+
+
 def test_learns_from_nothing_but_labelled_texts(spark):
     rows = [(i, "aaa bbb ccc", "x") for i in range(5)] + [(9, "ddd eee fff", None), (10, None, "y")]
     model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
