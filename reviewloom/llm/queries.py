@@ -40,7 +40,8 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix.remove_repeats(_table(spark, sf_dir, "documents")).drop("text_hash", "kept")
+    """The last column is the text that is left, of every document."""
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents"), whole=True).drop("text_hash")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -383,8 +383,8 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
                                    " kept_sha256 string, kept string")
 
 
-def _split(docs: DataFrame) -> DataFrame:
-    """Results of texts without hits, and texts and hits of the others."""
+def _split(docs: DataFrame, whole: bool) -> DataFrame:
+    """Results of texts without hits, and hits of the others; texts of those, or with whole of all."""
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
@@ -394,8 +394,8 @@ def _split(docs: DataFrame) -> DataFrame:
                 [run.column("id"), run.column("text_hash"), pa.array(sizes),
                  pa.array([None if k else hashlib.sha256(t).hexdigest()
                            for t, k in zip(texts, keep, strict=True)], pa.string()),
-                 pa.array([t.decode("utf-8", "surrogatepass") if k else None
-                           for t, k in zip(texts, keep, strict=True)], pa.string()),
+                 run.column("text") if whole else pa.array(
+                     [t if k else None for t, k in zip(texts, keep, strict=True)], pa.binary()).cast(pa.string()),
                  run.column("hits"), run.column("copied")],
                 ["id", "text_hash", "n_bytes", "kept_sha256", "text", "hits", "copied"])
 
@@ -404,14 +404,15 @@ def _split(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW,
-                   anchor: int = ANCHOR) -> DataFrame:
+                   anchor: int = ANCHOR, whole: bool = False) -> DataFrame:
     """(id, text_hash, n_bytes, n_removed, n_spans, kept_sha256, kept) of each row of docs.
 
     Every byte goes that a string of `window` bytes covers which also starts anywhere else, in
     the same text or another. The hash is of the other bytes; kept is their text, without what is
-    left of cut characters, and null where all bytes stay. Null counts as empty, and a null id is an id like others. Rows with equal
+    left of cut characters, and null where all bytes stay, or with whole the text itself. Null counts as empty, and a null id is an id like others. Rows with equal
     texts hold all of each other, whatever their ids: from `window` bytes on, nothing of them
-    stays. Ids are integers; other columns are not read.
+    stays. Ids are integers; other columns, whatever their names, are not read. Long texts are read
+    in tiles; an empty table gives an empty one; ties don't arise, as all places of a repeat go.
     """
     source = keyed(docs, id_col, text)
     rows = source.select("id", "text_hash", F.octet_length("text").alias("size"))
@@ -425,7 +426,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     known = hits.join(copies, ["id", "text_hash"], "full")
     with_hits = source.join(known, ["id", "text_hash"], "left").withColumn(
         "copied", F.coalesce("copied", F.lit(False)))
-    split = written(_split(with_hits))
+    split = written(_split(with_hits, whole))
     held = split.where("hits IS NOT NULL").select("id", "text_hash", "text", "hits")
     # of equal texts one stands for all
     least = often.select("text_hash", F.col("least").alias("id"), F.lit(True).alias("stands"))
@@ -440,10 +441,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     if not hot.isEmpty():
         found = found.unionByName(_by_value(pieces.join(marks, "anchor", "left_semi"), window))
     repeated = found.groupBy("id", "text_hash").agg(F.collect_list("found").alias("found"))
-    texts = split.where("text IS NOT NULL").select("id", "text_hash", "text", "copied")
-    whole = split.where("text IS NULL").select(
+    texts = split.where("kept_sha256 IS NULL").select("id", "text_hash", "text", "copied")
+    same = split.where("kept_sha256 IS NOT NULL").select(
         "id", "text_hash", "n_bytes", F.lit(0).cast("long").alias("n_removed"),
-        F.lit(0).cast("long").alias("n_spans"), "kept_sha256", F.lit(None).cast("string").alias("kept"))
+        F.lit(0).cast("long").alias("n_spans"), "kept_sha256", F.col("text").alias("kept"))
     cut = _cut(texts.join(repeated, ["id", "text_hash"], "left"), window)
-    return whole.unionByName(cut).select(
+    return same.unionByName(cut).select(
         own_id(id_col), "text_hash", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
