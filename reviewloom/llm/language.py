@@ -9,6 +9,7 @@ were held out of the clustering, is rejected.
 
 from __future__ import annotations
 
+import dataclasses
 import sys
 import zlib
 from collections.abc import Iterator
@@ -249,22 +250,21 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text: str = "text", lang: s
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with lang_pred, score and rejected; columns of these names are replaced.
 
-    A text that is null or has no letter is `und` with score 0, and rejected. Nothing but the
-    text is read. The model is sent along: its size is bounded by the bounds of the fit.
+    A text that is null or has no letter is `und` with score 0, and rejected; of equally near
+    centroids the first is taken. Nothing but the text is read, whole. Repeated rows get equal
+    results, an empty table gives an empty one. The model is sent along as plain arrays, so that a
+    task needs no copy of this package; its size is bounded by the bounds of the fit.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("_text_of")
-            found = [sent.value.predict(x.as_py()) for x in batch.column(at)]
-            kept = [i for i in range(batch.num_columns) if i != at]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in kept] + [
-                    pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()),
-                    pa.array([x[2] for x in found], pa.bool_())],
-                [batch.schema.names[i] for i in kept] + ["lang_pred", "score", "rejected"])
-
-    rest = docs.drop("lang_pred", "score", "rejected")
-    schema = rest.schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return rest.withColumn("_text_of", F.col(text)).mapInArrow(predicted, schema)
+    sent = docs.sparkSession.sparkContext.broadcast(dataclasses.astuple(model))
+
+    @F.arrow_udf("lang_pred string, score double, rejected boolean")
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = Model(*sent.value)
+        for texts in batches:
+            found = [known.predict(x.as_py()) for x in texts]
+            yield pa.StructArray.from_arrays(
+                [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()),
+                 pa.array([x[2] for x in found], pa.bool_())], ["lang_pred", "score", "rejected"])
+
+    found = docs.withColumn("_found", predicted(text)).drop("lang_pred", "score", "rejected")
+    return found.select(*[F.col(f"`{x}`") for x in found.columns if x != "_found"], "_found.*")

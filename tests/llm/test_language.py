@@ -1,7 +1,11 @@
 """Language identification: held-out accuracy, rejection and awkward rows."""
 
 import base64
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 from helpers import awkward, documents, nothing
@@ -84,3 +88,22 @@ def test_awkward_rows(spark):
     rows = language.identify(awkward(spark), model).collect()
     assert len(rows) == 13 and all(r.id == "a" for r in rows)
     assert language.identify(nothing(spark), model).count() == 0
+
+
+def test_runs_where_tasks_lack_the_package(tmp_path):
+    """Executors get no copy of the package: a cluster of one worker process, started elsewhere."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(language.__file__).parents[2])!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local-cluster[1,1,1024]").config("spark.ui.enabled", "false")
+         .config("spark.executorEnv.PYTHONPATH", "").config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+from reviewloom.llm import language
+rows = [(i, x, y) for i, (x, y) in enumerate([("the thing and that", "en"), ("der die und das", "de")] * 9)]
+docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+print([r.lang_pred for r in language.identify(docs, language.fit(docs)).limit(2).collect()])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True,
+                          timeout=240)
+    assert "['en', 'de']" in done.stdout, done.stderr[-2000:]
