@@ -16,6 +16,9 @@ from reviewloom.llm.common import written
 
 VOCABULARY = "byte_bpe_50k.json"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Bytes of a repeated string that goes, and of the anchors in it: a passage of 50 words of four
+#: letters holds it, wherever words begin.
+REPEAT, ANCHOR = 200, 50
 
 
 def _same(docs: DataFrame, judged: DataFrame, text: Column) -> Column:
@@ -39,7 +42,7 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes of long repeated strings; n_chars follows the text."""
-    judged = (suffix.remove_repeats(docs).where("kept IS NOT NULL")
+    judged = (suffix.remove_repeats(docs, window=REPEAT, anchor=ANCHOR).where("kept IS NOT NULL")
               .select("doc_id", "text_hash", "kept").dropDuplicates(["doc_id", "text_hash"]))
     rows = docs.select(*COLUMNS).alias("rows")
     same = _same(rows, judged, F.coalesce("rows.text", F.lit("")))
