@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import (
-    decontaminate, html_main, language, licenses, near_dup, packing, quality, substring,
-    suffix, url_rules,
+    decontaminate, html_main, language, licenses, near_dup, packing, quality, spelling,
+    substring, suffix, url_rules,
 )
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -73,7 +73,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = [op1_html_extraction, op2_substring_dedup, op3_benchmark_decontamination,
            op4_best_fit_packing, op5_suffix_array_dedup,
            op6_language_id, op7_url_filters, op8_license_scan,
-           op9_minhash_near_dedup, op10_quality_rules]
+           op9_minhash_near_dedup, op10_quality_rules,
+           op13_spelling_variants]
