@@ -105,8 +105,42 @@ SELECT id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_
 FROM docs LEFT JOIN hits USING (k) LEFT JOIN named USING (k)"""
 
 
+def _phrases() -> str:
+    return r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+    FROM split, (SELECT unnest([1, 2, 3]) AS m) WHERE len(w) >= m)),
+counted AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM counted WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE m > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, c.m, k, l.f AS l, r.f AS r,
+    (1000000 * CAST(c.a AS HUGEINT) * c.a) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+  JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(list_slice(w, 1, k), ' ')
+  JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(w, k + 1, c.m), ' ')),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (
+  SELECT lang, array_to_string(list_slice(w, i, i + 1), ' ') AS phrase, max(a) AS most
+  FROM (SELECT *, unnest([1, 2]) AS i FROM candidates WHERE m = 3) GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM worst LEFT JOIN around USING (lang, phrase)
+  WHERE most IS NULL OR m = 3 OR 100 * most < 50 * a)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 ORACLES = {
     "op3_benchmark_decontamination": _decontamination(),
     "op7_url_filters": _url_filters(),
     "op10_quality_rules": _quality(),
+    "op11_phrase_collocations": _phrases(),
 }
