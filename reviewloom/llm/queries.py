@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import (
-    decontaminate, html_main, language, licenses, near_dup, packing, phrases, quality,
-    spelling, substring, suffix, url_rules,
+    decontaminate, html_main, language, licenses, near_dup, packing, personal, phrases,
+    quality, spelling, substring, suffix, url_rules,
 )
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -77,6 +77,10 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find(_table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
@@ -85,4 +89,4 @@ QUERIES = [op1_html_extraction, op2_substring_dedup, op3_benchmark_decontaminati
            op4_best_fit_packing, op5_suffix_array_dedup,
            op6_language_id, op7_url_filters, op8_license_scan,
            op9_minhash_near_dedup, op10_quality_rules,
-           op11_phrase_collocations, op13_spelling_variants]
+           op11_phrase_collocations, op12_personal_data, op13_spelling_variants]
