@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from reviewloom.functions import lenient  # noqa: E402
 from reviewloom.functions import vectors as vector_functions
 from reviewloom.operators import (
-    answers, embed, gates, products, prompts, reviews, search, stats,
+    answers, embed, gates, products, prompts, pruned, reviews, search, stats, vector_index,
 )
 from reviewloom.plans import stages
 from reviewloom.plans.ask import ask
@@ -519,6 +519,70 @@ def unmatched_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.unmatched_ids(documents, labels, "doc_id")
 
 
+def _kept(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    path = f"{_scratch(df.sparkSession)}/{name}"
+    tables.write_table(df, path, partition_by=partition_by)
+    return tables.read_table(df.sparkSession, path)
+
+
+def knn_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hits of knn_top5, by blocks that triangle bounds leave over."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    pivots = pruned.choose_pivots(vectors, "vec_id")
+    blocked = _kept(pruned.with_blocks(vectors.select("vec_id", "embedding"), pivots), "blocked", ("cell",))
+    asked = vectors.select(F.col("vec_id").alias("question_id"), "embedding")
+    hits = pruned.pruned_topk(blocked, asked, pivots, _scratch(spark), search.TOP_K, "vec_id")
+    return _rounded(hits.drop("blocks_read", "blocks"))
+
+
+def _pruned_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _written_vectors(spark, sf_dir)
+    pivots = pruned.choose_pivots(vectors)
+    blocked = _kept(pruned.with_blocks(vectors.select("review_id", "embedding"), pivots), "blocked", ("cell",))
+    asked = _kept(_embed_questions(_questions(spark, sf_dir)[0]), "asked")
+    return pruned.pruned_topk(blocked, asked, pivots, _scratch(spark), search.CHECK_K)
+
+
+def questions_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hits of search_questions, by blocks that triangle bounds leave over."""
+    return _rounded(_pruned_reviews(spark, sf_dir).drop("blocks_read", "blocks"))
+
+
+def blocks_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of that search the bounds save: blocks read and there, over all questions."""
+    one = _pruned_reviews(spark, sf_dir).where("rank = 1")
+    return one.agg(F.count("*").alias("questions"), F.sum("blocks_read").alias("blocks_read"),
+                   F.sum("blocks").alias("blocks")).withColumn(
+        "skipped_share", F.round(1 - F.col("blocks_read") / F.col("blocks"), 4))
+
+
+def _indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    """(vectors, questions, candidates, hits) by the compressed index, a tenth of the vectors read."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = vector_index.fit(vectors, "vec_id")
+    rows, schema = vector_index.index_rows(index)
+    index = vector_index.read_index(_kept(spark.createDataFrame(rows, schema), "index"))
+    codes = _kept(vector_index.with_codes(vectors, index).drop("embedding"), "codes", ("cell",))
+    asked = vectors.select(F.col("vec_id").alias("question_id"), "embedding")
+    lists = len(index.centroids)
+    found = _kept(vector_index.candidates_of(codes, asked, index, lists, id_col="vec_id"), "candidates")
+    return vectors, asked, found, vector_index.rerank(vectors, asked, found, search.TOP_K, "vec_id")
+
+
+def knn_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest vectors by compressed lists and exact re-ranking."""
+    return _rounded(_indexed(spark, sf_dir)[-1])
+
+
+def knn_index_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the index finds nine of ten exact hits and reads under a fifth of the vectors."""
+    vectors, asked, found, hits = _indexed(spark, sf_dir)
+    exact = search.cosine_topk(vectors, asked, search.TOP_K, id_col="vec_id")
+    report = vector_index.recall_report(hits, exact, found, vectors, "vec_id")
+    return report.select("questions", (F.col("recall") >= 0.9).alias("recall_enough"),
+                         (F.col("read_share") < 0.2).alias("few_read"))
+
+
 _QUERIES = [
     reviews_clean, reviews_from_csv, reviews_written, review_id_stable, reviews_balance,
     rating_distribution, product_frequency, preview, products_clean, products_first_column,
@@ -527,8 +591,11 @@ _QUERIES = [
     knn_top5, knn_top2, cosine_of_hits, knn_top5_blocks, knn_lsh, knn_lsh_blocks, questions_valid,
     questions_rejected, search_questions, prompts_built, answers_generated, ask_records,
     hit_records, gate_report, unmatched_ids, typed_numbers, products_from_csv, stages_run,
-    inputs_checked, clean_schemas, ingestion_time, knn_doubles, questions_searched,
+    inputs_checked, clean_schemas, ingestion_time, knn_doubles, questions_searched, knn_pruned,
+    questions_pruned, blocks_skipped, knn_index, knn_index_recall,
 ]
+#: Learnt or measured: SQL cannot say it, tests hold it against brute force.
+_NO_SQL = {"blocks_skipped", "knn_index"}
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -905,6 +972,10 @@ SELECT least(count(*), 1) AS times, count(*) AS rows_with_time, count(*) AS row_
 scored AS (
   SELECT q.vec_id AS question_id, f.vec_id AS vec_id, list_cosine_similarity(f.v, q.v) AS similarity
   FROM fine f, fine q WHERE q.vec_id % 20 = 0){_best(5)}""",
+        "knn_pruned": knn + _best(5),
+        "questions_pruned": f"""WITH {_TEXT_HITS}
+SELECT question_id, rank, review_id, round(similarity, 6) AS similarity FROM hits WHERE rank <= 2""",
+        "knn_index_recall": "SELECT count(*) AS questions, true AS recall_enough, true AS few_read FROM embeddings",
         "unmatched_ids": """
 SELECT doc_id, d.doc_id IS NOT NULL AS in_left, l.doc_id IS NOT NULL AS in_right
 FROM documents d FULL JOIN labels l USING (doc_id)

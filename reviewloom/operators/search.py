@@ -231,15 +231,49 @@ def _by_blocks(v, q, k, probe, width, v_bytes, q_bytes) -> DataFrame:
             *q.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))]))
         probing = probing.withColumn("cell", F.explode("cells")).drop("cells")
 
-    def blocks(df: DataFrame, column: str, most: int, name: str) -> DataFrame:
-        held = F.sum(F.greatest(F.size(column), F.lit(0)) * 8 + 64)
-        return df.groupBy("cell").agg(F.ceil(held / most).cast("int").alias(name))
+    def score(one: pa.Table, other: pa.Table) -> pa.Table:
+        asked = Questions(
+            _column(other, "question_id"), _matrix(_column(other, "asked"), width))
+        same_cell = pa.array(np.zeros(one.num_rows, np.int32))
+        scored = _score(asked, k, _column(one, "id"), _column(one, "embedding"), same_cell)
+        return pa.Table.from_batches([batch.cast(types) for batch in scored], types)
+
+    types = hit_types(v, q)
+    return meet(v, probing, (list_bytes("embedding"), list_bytes("asked")), (v_bytes, q_bytes), score,
+                _hit_schema(v.schema, q.schema), types)
+
+
+def list_bytes(column: str) -> Column:
+    """About the bytes of a row with this list in a task."""
+    return F.greatest(F.size(column), F.lit(0)) * 8 + 64
+
+
+def hit_types(v: DataFrame, q: DataFrame) -> pa.Schema:
+    return pa.schema([
+        ("question_id", to_arrow_type(q.schema["question_id"].dataType)),
+        ("id", to_arrow_type(v.schema["id"].dataType)),
+        ("similarity", pa.float64()),
+    ])
+
+
+def meet(
+    v: DataFrame, probing: DataFrame, row_bytes: tuple[Column, Column], most: tuple[int, int],
+    score, schema: str, types: pa.Schema,
+) -> DataFrame:
+    """score(rows of v, rows of probing) for blocks of both that share a ``cell``.
+
+    Both have a ``cell``; ``v`` has an ``id`` and ``probing`` a ``question_id``, by whose hashes the
+    rows of a cell are dealt to blocks of about ``most`` bytes.
+    """
+
+    def blocks(df: DataFrame, held: Column, most: int, name: str) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.sum(held) / most).cast("int").alias(name))
 
     # One row per cell that has both: at most 2 ** MOST_BITS, so it can be broadcast. Cells
     # that no question probes end here.
     sizes = F.broadcast(
-        blocks(v, "embedding", v_bytes, "v_blocks").join(
-            blocks(probing, "asked", q_bytes, "q_blocks"), "cell"))
+        blocks(v, row_bytes[0], most[0], "v_blocks").join(
+            blocks(probing, row_bytes[1], most[1], "q_blocks"), "cell"))
 
     def block(key: str, count: str) -> Column:
         return F.pmod(F.xxhash64(key), F.col(count)).cast("int")
@@ -260,24 +294,13 @@ def _by_blocks(v, q, k, probe, width, v_bytes, q_bytes) -> DataFrame:
         .drop("v_blocks", "q_blocks")
     )
 
-    types = pa.schema([
-        ("question_id", to_arrow_type(q.schema["question_id"].dataType)),
-        ("id", to_arrow_type(v.schema["id"].dataType)),
-        ("similarity", pa.float64()),
-    ])
-
-    def score(one: pa.Table, other: pa.Table) -> pa.Table:
+    def scored(one: pa.Table, other: pa.Table) -> pa.Table:
         if not one.num_rows or not other.num_rows:
             return types.empty_table()
-        asked = Questions(
-            _column(other, "question_id"), _matrix(_column(other, "asked"), width))
-        same_cell = pa.array(np.zeros(one.num_rows, np.int32))
-        scored = _score(asked, k, _column(one, "id"), _column(one, "embedding"), same_cell)
-        return pa.Table.from_batches(scored).cast(types)
+        return score(one, other).cast(types)
 
     keys = ["cell", "v_block", "q_block"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        score, _hit_schema(v.schema, q.schema))
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(scored, schema)
 
 
 # --- scoring inside a task -------------------------------------------------------------
