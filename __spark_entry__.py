@@ -21,9 +21,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from reviewloom.functions import lenient  # noqa: E402
 from reviewloom.functions import vectors as vector_functions
 from reviewloom.operators import (
-    answers, embed, gates, products, prompts, pruned, reviews, search, stats, vector_index,
+    answers, collection, digests, embed, gates, products, prompts, pruned, reviews, search, stats, vector_index,
 )
-from reviewloom.plans import stages
+from reviewloom.plans import intake, sql, stages
 from reviewloom.plans.ask import ask
 from reviewloom.sources import tables
 
@@ -583,6 +583,98 @@ def knn_index_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("read_share") < 0.2).alias("few_read"))
 
 
+def _staged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(written rows by outcome, balance) of the reviews."""
+    folder = _scratch(spark)
+    balance = intake.build_reviews(
+        _raw_reviews(spark, sf_dir), f"{folder}/staged", f"{folder}/clean", tie_break=["doc_id"])
+    return tables.read_table(spark, f"{folder}/staged"), balance
+
+
+def balance_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """reviews_balance by the footers of what was written, the raw rows read once."""
+    return _staged(spark, sf_dir)[1]
+
+
+def review_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows kept and rows that go, by reason."""
+    return intake.outcomes(_staged(spark, sf_dir)[0])
+
+
+def review_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row that goes, with its reason and what it held."""
+    held = F.get_json_object("record", "$.Pageurl")
+    return intake.rejects(_staged(spark, sf_dir)[0]).select("outcome", held.alias("page"))
+
+
+def _changed(spark: SparkSession, sf_dir: str, compact: bool) -> DataFrame:
+    """The vectors as a collection: most at first, then the rest with some replaced, then some
+    deleted, of which a few come back."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    kept = collection.Collection(spark, _scratch(spark), "vec_id")
+    kept.add(vectors.where("vec_id % 10 < 8"))
+    kept.add(vectors.where("vec_id % 10 IN (1, 8, 9)").withColumn("label", F.col("label") + 100))
+    if compact:
+        kept.compact()
+    kept.delete(vectors.where("vec_id % 10 IN (2, 8)"))
+    kept.add(vectors.where("vec_id % 20 = 2").withColumn("label", F.col("label") + 200))
+    if compact:
+        kept.compact()
+    return kept.rows().select("vec_id", "label", F.size("embedding").alias("width"))
+
+
+def collection_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _changed(spark, sf_dir, compact=False)
+
+
+def collection_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _changed(spark, sf_dir, compact=True)
+
+
+def unmatched_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """unmatched_ids, of which only ranges with different digests are joined."""
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return digests.unmatched_by_digest(documents, labels, "doc_id")
+
+
+def _by_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """A query as text in a session of its own, so that its views and functions meet no others."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    sql.register(own, reviews=_reviews(own, sf_dir), products=products.clean_products(_raw_products(own, sf_dir)),
+                 raw_reviews=_raw_reviews(own, sf_dir), embeddings=_table(own, sf_dir, "embeddings"))
+    return own.sql(text)
+
+
+def sql_rating_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_sql(spark, sf_dir, "SELECT rating, count(*) AS count FROM reviews GROUP BY rating ORDER BY rating")
+
+
+def sql_product_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_sql(spark, sf_dir, "SELECT product_id, count(*) AS count FROM reviews GROUP BY product_id"
+                                  " ORDER BY count DESC, product_id")
+
+
+def sql_reviews_of_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table function by product, laterally."""
+    return _by_sql(spark, sf_dir, "SELECT p.product_id, r.shown, count(*) AS reviews"
+                                  " FROM (SELECT DISTINCT product_id FROM reviews) p, LATERAL reviews_of(p.product_id) r"
+                                  " GROUP BY p.product_id, r.shown")
+
+
+def sql_similar_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cosine of each vector with the first of its label."""
+    return _by_sql(spark, sf_dir, "WITH first AS (SELECT label, min_by(embedding, vec_id) AS one FROM embeddings"
+                                  " GROUP BY label) SELECT vec_id, round(cosine(embedding, one), 6) AS similarity"
+                                  " FROM embeddings JOIN first USING (label)")
+
+
+def sql_title_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table function in Python over all review titles, and lenient numbers of the raw rows."""
+    return _by_sql(spark, sf_dir, "SELECT t.token, sum(t.n) AS n, max(lenient_int(Rating)) AS best"
+                                  " FROM raw_reviews r, LATERAL tokens(r.Title) t GROUP BY t.token")
+
+
 _QUERIES = [
     reviews_clean, reviews_from_csv, reviews_written, review_id_stable, reviews_balance,
     rating_distribution, product_frequency, preview, products_clean, products_first_column,
@@ -592,7 +684,10 @@ _QUERIES = [
     questions_rejected, search_questions, prompts_built, answers_generated, ask_records,
     hit_records, gate_report, unmatched_ids, typed_numbers, products_from_csv, stages_run,
     inputs_checked, clean_schemas, ingestion_time, knn_doubles, questions_searched, knn_pruned,
-    questions_pruned, blocks_skipped, knn_index, knn_index_recall,
+    questions_pruned, blocks_skipped, knn_index, knn_index_recall, balance_of_files, review_outcomes,
+    review_rejects, collection_changed, collection_compacted, unmatched_by_digest,
+    sql_rating_distribution, sql_product_frequency, sql_reviews_of_products, sql_similar_labels,
+    sql_title_tokens,
 ]
 #: Learnt or measured: SQL cannot say it, tests hold it against brute force.
 _NO_SQL = {"blocks_skipped", "knn_index"}
@@ -857,7 +952,41 @@ def _own_oracles() -> dict[str, str]:
     schema_rows = ", ".join(
         f"('{t}', {i}, '{c}', '{kind}')" for t in types
         for i, (c, kind) in enumerate(zip(columns[t], types[t].split(), strict=True)))
+    judged = f"""{_REVIEWS},
+judged AS (
+  SELECT r.doc_id, CASE WHEN r.text IS NULL THEN 'no text' WHEN r.product IS NULL THEN 'no product'
+    WHEN r.rating IS NULL THEN 'no rating' WHEN t.rating BETWEEN 1 AND 5 THEN 'kept' ELSE 'rating out of range' END
+    AS outcome FROM raw r JOIN typed t USING (doc_id))"""
+    changed = """
+SELECT vec_id, label + CASE WHEN vec_id % 20 = 2 THEN 200 WHEN vec_id % 10 IN (1, 9) THEN 100 ELSE 0 END AS label,
+  len(embedding) AS width FROM embeddings WHERE vec_id % 10 NOT IN (2, 8) OR vec_id % 20 = 2"""
     return {
+        "balance_of_files": f"""WITH {_REVIEWS}
+SELECT raw_rows, clean_rows, raw_rows - clean_rows AS dropped_rows
+FROM (SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM reviews) AS clean_rows)""",
+        "review_outcomes": f"WITH {judged} SELECT outcome, count(*) AS rows FROM judged GROUP BY outcome",
+        "review_rejects": f"WITH {judged} SELECT outcome, concat('/reviews/', doc_id) AS page FROM judged"
+                          " WHERE outcome <> 'kept'",
+        "collection_changed": changed,
+        "collection_compacted": changed,
+        "unmatched_by_digest": """
+SELECT doc_id, d.doc_id IS NOT NULL AS in_left, l.doc_id IS NOT NULL AS in_right
+FROM documents d FULL JOIN labels l USING (doc_id)
+WHERE d.doc_id IS NULL OR l.doc_id IS NULL""",
+        "sql_rating_distribution": f"""WITH {_REVIEWS}
+SELECT rating, count(*) AS "count" FROM reviews GROUP BY rating""",
+        "sql_product_frequency": f"""WITH {_REVIEWS}
+SELECT product_id, count(*) AS "count" FROM reviews GROUP BY 1""",
+        "sql_reviews_of_products": f"""WITH {_REVIEWS}
+SELECT product_id, repeat('★', rating) AS shown, count(*) AS reviews FROM reviews GROUP BY 1, 2""",
+        "sql_similar_labels": """
+WITH first AS (SELECT label, arg_min(embedding, vec_id) AS one FROM embeddings GROUP BY label)
+SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(one AS DOUBLE[])), 6) AS similarity
+FROM embeddings JOIN first USING (label)""",
+        "sql_title_tokens": rf"""WITH {_REVIEWS}
+SELECT token, count(*) AS n,
+  max(TRY_CAST(regexp_extract(rating, '^\s*([+-]?\d+)(?:\.\d*)?\s*$', 1) AS INTEGER)) AS best
+FROM (SELECT unnest(regexp_extract_all(lower(title), '[a-z0-9]+')) AS token, rating FROM raw) GROUP BY token""",
         "reviews_clean": _REVIEW_ROWS,
         "reviews_from_csv": _REVIEW_ROWS,
         "reviews_written": _REVIEW_ROWS,
