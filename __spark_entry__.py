@@ -230,6 +230,25 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
         "review_id", "review_title", "review_text", "rating")
 
 
+def raw_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of both raw tables before cleaning, long cells cut."""
+    shown = [stats.preview(raw, n, 60, [F.col(f"`{key}`")]).select(
+        F.lit(name).alias("table_name"), F.col(f"`{key}`").cast("string").alias("row_key"),
+        F.col(f"`{title}`").alias("title"), F.col(f"`{body}`").alias("body"))
+        for name, raw, n, key, title, body in (
+            ("reviews", _raw_reviews(spark, sf_dir), 3, "doc_id", "Title", "Review Text"),
+            ("products", _raw_products(spark, sf_dir), 5, "asin", "Product Title", "About Product"))]
+    return shown[0].unionByName(shown[1])
+
+
+def raw_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and types of both raw tables as read from CSV: all text."""
+    paths = _stage_paths(spark, sf_dir)
+    found = [stats.schema_rows(tables.read_csv(spark, path)).withColumn("table_name", F.lit(name))
+             for name, path in (("reviews", paths.raw_reviews), ("products", paths.raw_products))]
+    return found[0].unionByName(found[1])
+
+
 def _money(df: DataFrame) -> DataFrame:
     return df.drop("ingestion_ts").withColumns({
         "price": F.round(F.col("price").cast("double"), 2),
@@ -687,7 +706,7 @@ _QUERIES = [
     questions_pruned, blocks_skipped, knn_index, knn_index_recall, balance_of_files, review_outcomes,
     review_rejects, collection_changed, collection_compacted, unmatched_by_digest,
     sql_rating_distribution, sql_product_frequency, sql_reviews_of_products, sql_similar_labels,
-    sql_title_tokens,
+    sql_title_tokens, raw_preview, raw_schemas,
 ]
 #: Learnt or measured: SQL cannot say it, tests hold it against brute force.
 _NO_SQL = {"blocks_skipped", "knn_index"}
@@ -952,6 +971,12 @@ def _own_oracles() -> dict[str, str]:
     schema_rows = ", ".join(
         f"('{t}', {i}, '{c}', '{kind}')" for t in types
         for i, (c, kind) in enumerate(zip(columns[t], types[t].split(), strict=True)))
+    raw_columns = {
+        "reviews": ["Pageurl", "Title", "Review Text", "Review Color", "User Verified", "Review Date",
+                    "Review Useful Count", "Configuration Text", "Rating", "Declaration Text"],
+        "products": ["asin", "Product Title", "About Product", "Department", "Actual Price", "Manufacturer",
+                     "Average Rating", "num_reviews"]}
+    raw_rows = ", ".join(f"('{t}', {i}, '{c}', 'string', true)" for t, cs in raw_columns.items() for i, c in enumerate(cs))
     judged = f"""{_REVIEWS},
 judged AS (
   SELECT r.doc_id, CASE WHEN r.text IS NULL THEN 'no text' WHEN r.product IS NULL THEN 'no product'
@@ -961,6 +986,16 @@ judged AS (
 SELECT vec_id, label + CASE WHEN vec_id % 20 = 2 THEN 200 WHEN vec_id % 10 IN (1, 9) THEN 100 ELSE 0 END AS label,
   len(embedding) AS width FROM embeddings WHERE vec_id % 10 NOT IN (2, 8) OR vec_id % 20 = 2"""
     return {
+        "raw_preview": f"""WITH {_RAW_REVIEWS},
+sides AS (
+  (SELECT 'reviews' AS table_name, CAST(doc_id AS VARCHAR) AS row_key, title, text AS body FROM raw
+   ORDER BY doc_id LIMIT 3)
+  UNION ALL
+  (SELECT 'products', CAST(p_partkey AS VARCHAR), CASE WHEN p_partkey % 13 <> 5 THEN concat(' ', upper(p_name), ' ') END,
+     CASE WHEN p_partkey % 17 <> 3 THEN concat(p_type, ' ', p_name, ' ') END
+   FROM part ORDER BY p_partkey LIMIT 5))
+SELECT table_name, row_key, {_SHORTEN.format(c='title')}, {_SHORTEN.format(c='body')} FROM sides""",
+        "raw_schemas": f"""SELECT * FROM (VALUES {raw_rows}) t(table_name, position, "column", type, nullable)""",
         "balance_of_files": f"""WITH {_REVIEWS}
 SELECT raw_rows, clean_rows, raw_rows - clean_rows AS dropped_rows
 FROM (SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM reviews) AS clean_rows)""",
