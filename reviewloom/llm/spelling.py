@@ -34,6 +34,9 @@ RUN = r"[A-Za-zÀ-ÿ]+"
 DROP, LETTERS, OFTEN, TIMES = 97, 5, 3, 2
 #: Groups of letters, and how many of them two near words share.
 GROUPS, SHARED = 5, 3
+#: Blocks of at most so many words are multiplied in stacks of about so many cells, and so many
+#: pairs are compared letter by letter at a time.
+STACKED, _CELLS, _VERIFIED = 48, 1 << 19, 1 << 16
 #: Words of a tile, and words that a task counts before it passes them on.
 TILE, HELD = 2048, 300_000
 #: Code points of a text that are searched at a time.
@@ -122,14 +125,24 @@ def block_keys(words: pa.Array) -> np.ndarray:
                      for k, chosen in enumerate(combinations(range(GROUPS), SHARED))], axis=1)
 
 
-def one_edit(a: str, b: str) -> bool:
-    """Whether a becomes b by exactly one inserted, deleted or replaced code point."""
-    if len(a) > len(b):
-        a, b = b, a
-    if len(b) - len(a) > 1 or a == b:
-        return False
-    at = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
-    return a[at + (len(a) == len(b)):] == b[at + 1:]
+def _code_table(words: pa.Array) -> np.ndarray:
+    """Code points of words as rows, filled up with zeros and one column more than the longest."""
+    codes, lengths = _codes(words)
+    table = np.zeros((len(lengths), int(lengths.max(initial=0)) + 1), np.int32)
+    ends = np.cumsum(lengths)
+    table[np.repeat(np.arange(len(lengths)), lengths), np.arange(len(codes)) - np.repeat(ends - lengths, lengths)] = codes
+    return table
+
+
+def one_edit(short: np.ndarray, long: np.ndarray, added: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(is one edit, place of the first difference) of rows of code points, filled up with zeros.
+    With added, long has one letter more than short and one is inserted; else one is replaced."""
+    other = short != long
+    first = other.argmax(axis=1)
+    later = np.arange(other.shape[1])[None] >= first[:, None]
+    shifted = np.concatenate((long[:, 1:], np.zeros((len(long), 1), long.dtype)), axis=1)
+    inserted = ((short == shifted) | ~later).all(axis=1)
+    return np.where(added, inserted, other.sum(axis=1) == 1), first
 
 
 def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -168,6 +181,27 @@ def close_pairs(counts: np.ndarray, lengths: np.ndarray, most: int = 2) -> np.nd
     return np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
 
 
+def pairs_of_blocks(counts: np.ndarray, lengths: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Close pairs of rows of all blocks, each ordered by length. Small blocks of one size are
+    multiplied together, as one stack of Gram matrices."""
+    found = [np.zeros((0, 2), np.int64)]
+    squares = np.einsum("ij,ij->i", counts, counts)
+    for size in np.unique(sizes).tolist():
+        own = starts[sizes == size]
+        if size > STACKED:
+            found += [at + close_pairs(counts[at:at + size], lengths[at:at + size]) for at in own.tolist()]
+            continue
+        for at in range(0, len(own), max(1, _CELLS // size ** 2)):
+            rows = own[at:at + max(1, _CELLS // size ** 2), None] + np.arange(size)
+            block = counts[rows]
+            square, length = squares[rows], lengths[rows]
+            away = square[:, :, None] + square[:, None, :] - 2 * np.matmul(block, block.transpose(0, 2, 1))
+            near = (away <= 2) & (length[:, None, :] - length[:, :, None] <= 1) & np.triu(np.ones((size, size), bool), 1)
+            k, i, j = np.nonzero(near)
+            found.append(np.stack((rows[k, i], rows[k, j]), axis=1))
+    return np.concatenate(found)
+
+
 def near_pairs(vocabulary: DataFrame, tile: int = TILE) -> DataFrame:
     """(word, other, other_n), both ways, of all pairs of words at one edit; (word, n) given."""
     n_keys = len(list(combinations(range(GROUPS), SHARED)))
@@ -189,27 +223,36 @@ def near_pairs(vocabulary: DataFrame, tile: int = TILE) -> DataFrame:
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_blocks(batches):
-            column = table.column("word").combine_chunks()
-            words = column.to_pylist()
-            n, tiles = table.column("n").to_numpy(), table.column("tile").to_numpy()
-            counts, lengths = letter_counts(column), pa.compute.utf8_length(column).to_numpy()
-            keys = table.column("block").to_numpy()
+            lengths = pa.compute.utf8_length(table.column("word")).to_numpy()
+            table = table.take(pa.array(np.lexsort((lengths, table.column("block").to_numpy())))).combine_chunks()
+            words = table.column("word").combine_chunks()
+            keys, tiles, n = (table.column(x).to_numpy() for x in ("block", "tile", "n"))
+            lengths = pa.compute.utf8_length(words).to_numpy().astype(np.int64)
             starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            ends = np.append(starts[1:], len(keys))
-            a, b = [], []
-            for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
-                order = start + np.argsort(lengths[start:end], kind="stable")
-                across = (tiles[start:end] != tiles[start]).any()
-                for i, j in order[close_pairs(counts[order], lengths[order])].tolist():
-                    if not (across and tiles[i] == tiles[j]) and one_edit(words[i], words[j]):
-                        a += (i, j)
-                        b += (j, i)
-            if a:
-                yield pa.RecordBatch.from_arrays(
-                    [column.take(pa.array(a)), column.take(pa.array(b)), pa.array(n[b])], ["word", "other", "other_n"])
+            sizes = np.diff(np.append(starts, len(keys)))
+            pairs = pairs_of_blocks(letter_counts(words), lengths, starts, sizes)
+            across = np.repeat(np.maximum.reduceat(tiles, starts) != np.minimum.reduceat(tiles, starts), sizes)
+            pairs = pairs[~across[pairs[:, 0]] | (tiles[pairs[:, 0]] != tiles[pairs[:, 1]])]
+            for at in range(0, len(pairs), _VERIFIED):
+                i, j = pairs[at:at + _VERIFIED].T
+                used, of = np.unique(np.concatenate((i, j)), return_inverse=True)
+                codes = _code_table(words.take(pa.array(used)))
+                short, long = codes[of[:len(i)]], codes[of[len(i):]]
+                good, first = one_edit(short, long, lengths[j] > lengths[i])
+                # of equal lengths the smaller letter goes first, so a pair has one form
+                place = np.arange(len(i))
+                swap = (lengths[i] == lengths[j]) & (short[place, first] > long[place, first])
+                a, b = np.where(swap, j, i)[good], np.where(swap, i, j)[good]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays(
+                        [words.take(pa.array(a)), words.take(pa.array(b)), pa.array(n[a]), pa.array(n[b])],
+                        ["one", "other", "one_n", "other_n"])
 
     by_block = blocks.repartition("block").sortWithinPartitions("block")
-    return by_block.mapInArrow(compared, "word string, other string, other_n long").distinct()
+    pairs = by_block.mapInArrow(compared, "one string, other string, one_n long, other_n long").distinct()
+    ways = F.explode(F.array(F.struct(F.col("one").alias("word"), "other", "other_n"), F.struct(
+        F.col("other").alias("word"), F.col("one").alias("other"), F.col("one_n").alias("other_n"))))
+    return pairs.select(ways.alias("way")).select("way.*")
 
 
 def _roots(forms: DataFrame) -> DataFrame:

@@ -94,15 +94,38 @@ def test_long_texts_are_read_in_parts(spark, monkeypatch):
     assert {r.word for r in whole} <= set(parts)
 
 
+def edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    codes = spelling._code_table(pa.array([a, b]))
+    good, _ = spelling.one_edit(codes[:1], codes[1:], np.array([len(b) > len(a)]))
+    return len(b) - len(a) <= 1 and bool(good[0])
+
+
 def test_near_words_share_a_block_and_are_close():
     rng = random.Random(5)
     for _ in range(300):
         a = "".join(rng.choice("abcdeßéxyz") for _ in range(rng.randrange(1, 9)))
         b = rng.choice(sorted(edits(a, "aeéq")))
-        assert spelling.one_edit(a, b) and spelling.one_edit(b, a) and not spelling.one_edit(a, a)
+        assert edit(a, b) and edit(b, a) and not edit(a, a)
         both = pa.array([a, b] if len(a) <= len(b) else [b, a])
         keys = spelling.block_keys(both)
         assert (keys[0] == keys[1]).any()
         lengths = np.array([len(x) for x in both.to_pylist()])
         assert spelling.close_pairs(spelling.letter_counts(both), lengths).tolist() == [[0, 1]]
-    assert not spelling.one_edit("abcd", "abdc") and not spelling.one_edit("ab", "abcd")
+    assert not edit("abcd", "abdc") and not edit("ab", "abcd") and not edit("abc", "bcad")
+
+
+def test_stacked_blocks_give_the_pairs_of_single_ones():
+    rng = random.Random(6)
+    sizes = np.array([rng.choice((1, 2, 3, 5, 60)) for _ in range(40)])
+    words, lengths = [], []
+    for size in sizes.tolist():
+        block = sorted(("".join(rng.choice("ab") for _ in range(rng.randrange(1, 6))) for _ in range(size)), key=len)
+        words += block
+        lengths += map(len, block)
+    counts, lengths, starts = spelling.letter_counts(pa.array(words)), np.array(lengths), np.cumsum(sizes) - sizes
+    got = {tuple(x) for x in spelling.pairs_of_blocks(counts, lengths, starts, sizes).tolist()}
+    want = {(int(s + i), int(s + j)) for s, n in zip(starts, sizes, strict=True)
+            for i, j in spelling.close_pairs(counts[s:s + n], lengths[s:s + n]).tolist()}
+    assert got == want and len(want) > 100
