@@ -18,7 +18,7 @@ VOCABULARY = "byte_bpe_50k.json"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Bytes of a repeated string that goes, and of the anchors in it: a passage of 50 words of four
 #: letters holds it, wherever words begin.
-REPEAT, ANCHOR = 200, 50
+REPEAT, ANCHOR = 250, 60
 
 
 def _same(docs: DataFrame, judged: DataFrame, text: Column) -> Column:
