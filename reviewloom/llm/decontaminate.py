@@ -139,7 +139,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     its words, if it has fewer); items are the ids of items that occur, as sorted strings.
     Nulls and texts without words have no words; an item without words is none; repeated items
     count once, and items of one id together. Repeated rows of docs get equal results, and an
-    empty table on either side gives no hits.
+    empty table on either side gives no hits. Whole texts are read, however long; of terms that are
+    equally rare the one further to the left counts as rarer; other columns, whatever their names,
+    are not read.
     """
     index = build_index(docs, benchmark, id_col, text, item_id, item_text, window)
     told = index.hint(index.items.select("item", "item_id", "item_words", "length"))

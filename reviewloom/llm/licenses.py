@@ -100,7 +100,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
 
     Labels are distinct, sorted and joined by commas, empty if there are none; score is the
     largest share of a template found. Null ids and texts, repeated rows and ids with several
-    texts are rows like others: spans are kept by id and text hash.
+    texts are rows like others: spans are kept by id and text hash. Whole texts are scanned, however
+    long; templates that fit equally well all give their labels; an empty table gives an empty one;
+    other columns, whatever their names, are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).withColumn(
         "hash_of", F.xxhash64("text"))

@@ -191,7 +191,10 @@ def pack(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text: st
     """(id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every row.
 
     A null or empty text is the end token alone. Repeated rows and null ids are packed like
-    others; an empty table gives none. Shards hold about shard_rows documents, dealt by hash.
+    others; an empty table gives none. Shards hold about shard_rows documents, dealt by hash. Whole
+    texts are tokenized, however long, and cut into pieces only beyond `most` tokens. Of gaps that
+    are equally good the smallest is filled, so ties don't depend on chance. Other columns,
+    whatever their names, are not read.
     """
     shards = max(1, -(-docs.count() // shard_rows))
     pieces = tokenized(docs, vocabulary_path, id_col, text, most).withColumn(

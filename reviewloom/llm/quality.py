@@ -177,8 +177,9 @@ def judge(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, least: floa
 
     Every row gets a result: a null or empty text counts as no words; equal rows get equal
     results; an empty table gives an empty one. Columns of docs named like the results are
-    replaced, all others stay. The counts are written once, as both the learning and the
-    verdict read them.
+    replaced, all others stay. Whole texts are counted, however long; a document whose probability
+    is exactly `least` is good. The counts are written once, as both the learning and the verdict
+    read them.
     """
     names = [name for name, _, _ in RULES]
     voted = written(votes(counts(docs, text)))

@@ -198,7 +198,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     smaller id, or earlier in the same one. Ids are integers; a null id is smaller than all. Null
     or empty text has no words. Repeated rows are one document, and each gets its result; rows of
     one id with different texts are documents in the order of their hashes. Windows are equal if
-    their 64-bit hashes are. Other columns are not read.
+    their 64-bit hashes are. Texts are read whole, however long; an empty table gives an empty one;
+    other columns, whatever their names, are not read.
     """
     source = keyed(docs, id_col, text)
     buckets = bucket_count(source, "text", 6)
