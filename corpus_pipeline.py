@@ -2,6 +2,10 @@
 
 A stage takes (spark, docs, sf_dir) and returns the columns of documents; the last returns the
 pieces of the sequences. Rows without an id, or with equal ids, are told apart by their texts.
+
+In all stages other columns of docs, whatever their names, are left out, whole texts are read,
+however long, and an empty table gives an empty one. What a stage makes of nulls, empty texts, ties
+and repeated rows is in its own docstring.
 """
 
 from __future__ import annotations
@@ -27,13 +31,14 @@ def _same(docs: DataFrame, judged: DataFrame, text: Column) -> Column:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: a text that is null, has no letter or is far from all
-    learnt ones goes. Learnt from the labelled documents but a fifth."""
+    learnt ones goes. Learnt from the labelled documents but a fifth. Repeated rows stay or go together."""
     model = language.fit(docs.where(~language.held_out("doc_id")))
     return language.identify(docs.select(*COLUMNS), model).where("NOT rejected").select(*COLUMNS)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id, once."""
+    """One document of each group of near copies: that with the smallest id, once. Rows that repeat
+    an id and text are one document, also where both are null; texts without a word are in no group and stay."""
     judged = near_dup.near_duplicates(docs).where("kept").select("doc_id", "text_hash").distinct()
     rows = docs.select(*COLUMNS, F.xxhash64("text").alias("hash"))
     kept = rows["doc_id"].eqNullSafe(judged["doc_id"]) & (rows["hash"] == judged["text_hash"])
@@ -41,7 +46,9 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the bytes of long repeated strings; n_chars follows the text."""
+    """All documents, without the bytes of repeated strings of REPEAT bytes, all places of which go;
+    n_chars follows the text. Null texts stay null; rows with equal texts lose them from REPEAT bytes
+    on; repeated rows stay as many as they were."""
     judged = (suffix.remove_repeats(docs, window=REPEAT, anchor=ANCHOR).where("kept IS NOT NULL")
               .select("doc_id", "text_hash", "kept").dropDuplicates(["doc_id", "text_hash"]))
     rows = docs.select(*COLUMNS).alias("rows")
@@ -53,7 +60,8 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without contamination by the benchmark table."""
+    """Documents without contamination by the benchmark table. Null and empty texts hold none and
+    stay; repeated rows stay or go together."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     judged = (decontaminate.contaminated(docs, benchmark).where("contaminated")
               .select("doc_id", "text_hash").distinct())
@@ -62,7 +70,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, each with its sequence and place there."""
+    """The pieces of all documents, each with its sequence and place there. A null or empty text is
+    the end token alone; repeated rows are packed each."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path(VOCABULARY))
