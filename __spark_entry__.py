@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from reviewloom.functions import lenient  # noqa: E402
 from reviewloom.functions import vectors as vector_functions
 from reviewloom.operators import (
-    answers, collection, digests, embed, gates, products, prompts, pruned, reviews, search, stats, vector_index,
+    answers, collection, dedupe, digests, embed, gates, products, prompts, pruned, reviews, search, stats, vector_index,
 )
 from reviewloom.plans import intake, sql, stages
 from reviewloom.plans.ask import ask
@@ -656,6 +656,16 @@ def unmatched_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.unmatched_by_digest(documents, labels, "doc_id")
 
 
+def reviews_in_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean reviews of one half of the documents, then of the other against the first's keys."""
+    raw = _raw_reviews(spark, sf_dir)
+    first = _kept(reviews.clean_reviews(raw.where("doc_id % 2 = 0")).select("review_id", "product_id"), "first")
+    bits = dedupe.filter_bits(first.count())
+    known = _kept(dedupe.key_filter(first, "review_id", bits), "filter")
+    second = _kept(reviews.clean_reviews(raw.where("doc_id % 2 = 1")).select("review_id", "product_id"), "second")
+    return first.unionByName(dedupe.drop_seen(second, first, "review_id", known, bits))
+
+
 def _by_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """A query as text in a session of its own, so that its views and functions meet no others."""
     own = spark.newSession()
@@ -706,7 +716,7 @@ _QUERIES = [
     questions_pruned, blocks_skipped, knn_index, knn_index_recall, balance_of_files, review_outcomes,
     review_rejects, collection_changed, collection_compacted, unmatched_by_digest,
     sql_rating_distribution, sql_product_frequency, sql_reviews_of_products, sql_similar_labels,
-    sql_title_tokens, raw_preview, raw_schemas,
+    sql_title_tokens, raw_preview, raw_schemas, reviews_in_two_runs,
 ]
 #: Learnt or measured: SQL cannot say it, tests hold it against brute force.
 _NO_SQL = {"blocks_skipped", "knn_index"}
@@ -1003,6 +1013,7 @@ FROM (SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM revie
         "review_rejects": f"WITH {judged} SELECT outcome, concat('/reviews/', doc_id) AS page FROM judged"
                           " WHERE outcome <> 'kept'",
         "collection_changed": changed,
+        "reviews_in_two_runs": f"WITH {_REVIEWS} SELECT review_id, product_id FROM reviews",
         "collection_compacted": changed,
         "unmatched_by_digest": """
 SELECT doc_id, d.doc_id IS NOT NULL AS in_left, l.doc_id IS NOT NULL AS in_right

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from reviewloom.operators import digests, gates
+from reviewloom.operators import dedupe, digests, gates
 from reviewloom.operators.collection import Collection
 from reviewloom.plans import sql
 
@@ -108,3 +108,26 @@ def test_sql_functions(spark):
     got = own.sql("SELECT token, n FROM VALUES ('Ab-ab É1 x'), (NULL) v(t), LATERAL tokens(t)").collect()
     assert sorted(map(tuple, got)) == [("1", 1), ("ab", 2), ("x", 1)]
     assert not any(f.name == "stars" for f in spark.catalog.listFunctions())
+
+
+def test_filters_know_all_stored_keys_and_few_others(spark):
+    bits = dedupe.filter_bits(3000)
+    stored = spark.range(3000).selectExpr("concat('k', id) AS k")
+    known = dedupe.key_filter(stored, "k", bits)
+    assert dedupe.with_seen(stored, "k", known, bits).where("NOT maybe_seen").isEmpty()
+    other = spark.range(3000, 23000).selectExpr("concat('k', id) AS k")
+    assert dedupe.with_seen(other, "k", known, bits).where("maybe_seen").count() < 600
+    halves = dedupe.key_filter(stored.where("k < 'k2'"), "k", bits).unionAll(
+        dedupe.key_filter(stored.where("k >= 'k2'"), "k", bits))
+    assert sorted(map(tuple, dedupe.merged_filters(halves).collect())) == sorted(map(tuple, known.collect()))
+
+
+def test_only_unseen_rows_stay(spark):
+    stored = spark.range(500).selectExpr("concat('k', id) AS k")
+    rows = spark.range(400, 900).selectExpr("concat('k', id) AS k", "id AS n").unionAll(
+        spark.sql("SELECT CAST(NULL AS STRING), 1000L"))
+    for bits in (1 << 15, 64):  # a filter that is too small lets more keys through to the join
+        left = dedupe.drop_seen(rows, stored, "k", dedupe.key_filter(stored, "k", bits), bits)
+        assert sorted(r.n for r in left.collect()) == [*range(500, 900), 1000]
+    none = stored.limit(0)
+    assert dedupe.drop_seen(rows, none, "k", dedupe.key_filter(none, "k", 1 << 15), 1 << 15).count() == rows.count()
