@@ -666,6 +666,14 @@ def reviews_in_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(dedupe.drop_seen(second, first, "review_id", known, bits))
 
 
+def reviews_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean reviews in files by product, rating and date, asked by rating and date."""
+    path = f"{_scratch(spark)}/clustered"
+    tables.write_clustered(_reviews(spark, sf_dir), path, ["product_id", "rating", "review_date"], 16)
+    return tables.read_table(spark, path).where("rating = 4 AND review_date >= date'2010-01-01'").select(
+        "review_id", "product_id", "rating", F.col("review_date").cast("string").alias("review_date"))
+
+
 def _by_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """A query as text in a session of its own, so that its views and functions meet no others."""
     own = spark.newSession()
@@ -717,6 +725,7 @@ _QUERIES = [
     review_rejects, collection_changed, collection_compacted, unmatched_by_digest,
     sql_rating_distribution, sql_product_frequency, sql_reviews_of_products, sql_similar_labels,
     sql_title_tokens, raw_preview, raw_schemas, reviews_in_two_runs,
+    reviews_clustered,
 ]
 #: Learnt or measured: SQL cannot say it, tests hold it against brute force.
 _NO_SQL = {"blocks_skipped", "knn_index"}
@@ -1012,6 +1021,8 @@ FROM (SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM revie
         "review_outcomes": f"WITH {judged} SELECT outcome, count(*) AS rows FROM judged GROUP BY outcome",
         "review_rejects": f"WITH {judged} SELECT outcome, concat('/reviews/', doc_id) AS page FROM judged"
                           " WHERE outcome <> 'kept'",
+        "reviews_clustered": f"""WITH {_REVIEWS} SELECT review_id, product_id, rating, review_date FROM reviews
+WHERE rating = 4 AND review_date >= '2010-01-01'""",
         "collection_changed": changed,
         "reviews_in_two_runs": f"WITH {_REVIEWS} SELECT review_id, product_id FROM reviews",
         "collection_compacted": changed,

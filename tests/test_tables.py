@@ -86,3 +86,51 @@ def test_folders_get_few_files(spark, folder):
     tables.write_table(rows, folder + "/t", partition_by=["cell"])
     files = [f for _, _, names in os.walk(folder + "/t") for f in names if f.endswith(".parquet")]
     assert len(files) <= 2 * 16 and tables.read_table(spark, folder + "/t").count() == 4000
+
+
+def overlapping(folder, column, low, high):
+    """(files whose footers leave room for a value from low to high, all files)."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    found = total = 0
+    for path in glob.glob(f"{folder}/*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        at = meta.schema.names.index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        found += any(s is not None and s.has_min_max and s.min <= high and low <= s.max for s in stats)
+        total += 1
+    return found, total
+
+
+def test_clustered_files_are_left_out_by_any_column(spark, folder):
+    rows = spark.range(20_000).selectExpr(
+        "concat('p', lpad(pmod(hash(id), 97), 2, '0')) AS product_id", "pmod(hash(id, 1), 50) AS rating",
+        "date_add(date'2020-01-01', pmod(hash(id, 2), 700)) AS review_date", "IF(id % 50 = 0, NULL, id) AS n")
+    columns = ["product_id", "rating", "review_date"]
+    tables.write_clustered(rows, f"{folder}/clustered", columns, 64)
+    tables.write_table(rows, f"{folder}/plain", files=64)
+    back = tables.read_table(spark, f"{folder}/clustered")
+    assert back.exceptAll(rows).isEmpty() and back.count() == 20_000
+    for column, value in (("product_id", "p42"), ("rating", 7)):
+        found, total = overlapping(f"{folder}/clustered", column, value, value)
+        assert 1 <= found <= total / 2 and total >= 32
+        assert overlapping(f"{folder}/plain", column, value, value)[0] > 60
+    plan = back.where("rating = 7")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(rating,7)" in plan
+
+
+def test_clustering_takes_nulls_ties_and_no_rows(spark, folder):
+    rows = spark.range(300).selectExpr("IF(id % 3 = 0, NULL, 'same') AS a", "CAST(NULL AS int) AS b")
+    tables.write_clustered(rows, f"{folder}/a", ["a", "b"], 4)
+    assert tables.read_table(spark, f"{folder}/a").exceptAll(rows).isEmpty()
+    tables.write_clustered(rows.limit(0), f"{folder}/b", ["a", "b"], 4)
+    assert spark.read.schema(rows.schema).parquet(f"{folder}/b").count() == 0
+
+
+def test_interleaved_bits(spark):
+    from pyspark.sql import functions as F
+
+    row = spark.sql("SELECT 5 AS a, 3 AS b").select(tables.interleaved([F.col("a"), F.col("b")], 3)).first()
+    assert row[0] == 0b011011
