@@ -8,27 +8,51 @@ committed, whose footers say it; a task that runs twice commits once, so it coun
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.functions import lenient
-from reviewloom.operators import reviews
+from reviewloom.operators import gates, reviews
 from reviewloom.sources import tables
 
+# Files whose headers are read at a time.
+HEADERS_AT_ONCE = 16
+
 KEPT, OUTCOME, CORRUPT = "kept", "outcome", "_corrupt_record"
 
 
-def read_csv_with_rejects(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """A CSV table as text columns, with ``_corrupt_record`` and ``file``.
+def header_groups(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header. The driver gets the files' names and first lines, which Spark reads
+    a few at a time; no file is read further."""
+    files = sorted(r.path for r in spark.read.format("binaryFile").load(path).select("path").collect())
+    with ThreadPool(HEADERS_AT_ONCE) as pool:
+        headers = pool.map(lambda file: tuple(tables.read_csv(spark, file, multi_line).columns), files)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for header, file in zip(headers, files, strict=True):
+        if header:  # an empty file has none
+            groups.setdefault(header, []).append(file)
+    return groups
+
+
+def read_csv_with_rejects(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+    """CSV files as text columns, with ``_corrupt_record`` and ``file``.
 
-    A record with more or fewer cells than the header has its raw text in ``_corrupt_record``; others have null there.
+    Files are put together by the names in their headers, in whatever order and number they stand;
+    a column that a file lacks is null there. A record with more or fewer cells than its file's
+    header has its raw text in ``_corrupt_record``; others have null there.
     """
-    header = tables.read_csv(spark, path, multi_line).columns
-    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*header, CORRUPT])
-    rows = spark.read.schema(schema).csv(
-        path, header=True, multiLine=multi_line, escape='"', enforceSchema=False, mode="PERMISSIVE",
-        columnNameOfCorruptRecord=CORRUPT)
-    return rows.withColumn("file", F.col("_metadata.file_name"))
+    found = None
+    for header, files in sorted(header_groups(spark, path, multi_line).items()):
+        schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*header, CORRUPT])
+        rows = spark.read.schema(schema).csv(
+            files, header=True, multiLine=multi_line, escape='"', enforceSchema=False, mode="PERMISSIVE",
+            columnNameOfCorruptRecord=CORRUPT).withColumn("file", F.col("_metadata.file_name"))
+        found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
+    if found is None:
+        raise gates.GateError(f"no file with a header: {path}")
+    return found
 
 
 def judged(raw: DataFrame) -> DataFrame:

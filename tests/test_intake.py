@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from reviewloom.operators import reviews, stats
+from reviewloom.operators import gates, reviews, stats
 from reviewloom.plans import intake
 from reviewloom.sources import tables
 
@@ -53,3 +53,23 @@ def test_no_rows(spark, raw, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("out"))
     none = intake.read_csv_with_rejects(spark, f"{raw}/*.csv").limit(0)
     assert tuple(intake.build_reviews(none, f"{out}/staged", f"{out}/clean").first()) == (0, 0, 0)
+
+
+def test_files_are_put_together_by_name(spark, raw, tmp_path_factory):
+    with open(f"{raw}/c.csv", "w") as out:  # other order, a column less, one more
+        out.write("Rating,Configuration Text,Review Text,Store\n4,Dot,fine,x\n5,Dot\n")
+    open(f"{raw}/d.csv", "w").close()
+    assert {len(k): len(v) for k, v in intake.header_groups(spark, f"{raw}/*.csv").items()} == {10: 2, 4: 1}
+    rows = intake.read_csv_with_rejects(spark, f"{raw}/*.csv")
+    out = str(tmp_path_factory.mktemp("out"))
+    assert tuple(intake.build_reviews(rows, f"{out}/staged", f"{out}/clean").first()) == (11, 3, 8)
+    one = tables.read_table(spark, f"{out}/clean").where("product_id = 'dot'").first()
+    assert (one.rating, one.review_text, one.review_title) == (4, "fine", None)
+    lost = intake.rejects(tables.read_table(spark, f"{out}/staged")).where("file = 'c.csv'").first()
+    assert (lost.outcome, lost.record) == ("malformed", "5,Dot")
+
+
+def test_no_file_has_a_header(spark, folder):
+    open(f"{folder}/a.csv", "w").close()
+    with pytest.raises(gates.GateError):
+        intake.read_csv_with_rejects(spark, f"{folder}/*.csv")
