@@ -149,6 +149,13 @@ def merge(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarra
     return keys, counts
 
 
+def _among(some: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which of some are in ordered."""
+    if not len(ordered):
+        return np.zeros(len(some), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, some), len(ordered) - 1)] == some
+
+
 def survivors(rows: list[tuple[np.ndarray, np.ndarray]], least: int) -> np.ndarray:
     """Keys of a partition that come `least` times or more. Summaries are merged some at a time;
     then the keys that are left are counted exactly over the same rows."""
@@ -165,9 +172,8 @@ def survivors(rows: list[tuple[np.ndarray, np.ndarray]], least: int) -> np.ndarr
     keys = summary[0]
     total = np.zeros(len(keys), dtype=np.int64)
     for found, counts in rows:
-        at = np.searchsorted(keys, found)
-        held = keys[np.minimum(at, len(keys) - 1)] == found if len(keys) else np.zeros(len(found), bool)
-        total += np.bincount(at[held], counts[held], len(keys)).astype(np.int64)
+        held = _among(found, keys)
+        total += np.bincount(np.searchsorted(keys, found[held]), counts[held], len(keys)).astype(np.int64)
     return keys[total >= least]
 
 
@@ -179,7 +185,7 @@ def _frequent(summaries: DataFrame, least: int) -> DataFrame:
 
         def told() -> pa.RecordBatch:
             kept = survivors(rows, least)
-            held = [keys[np.isin(keys, kept)] for keys, _ in rows]
+            held = [keys[_among(keys, kept)] for keys, _ in rows]
             offsets = np.cumsum([0] + [len(x) for x in held])
             return pa.RecordBatch.from_arrays(
                 [pa.array(runs, pa.int64()), pa.array([part] * len(runs), pa.int32()),
@@ -206,7 +212,8 @@ _COUNTED = "lang string, phrase string, words int, n long"
 
 def _counted(runs: DataFrame, frequent: DataFrame, partitions: int, longest: int) -> DataFrame:
     """(lang, phrase, words, n): n-grams of a run whose keys are frequent, with their exact counts
-    there; words 0: all words of the language."""
+    there; words 0: all words of the language. Inside a chunk of a run's texts n-grams are equal if
+    their 64-bit hashes are; beyond it their words are compared."""
 
     def counts(texts: pa.Table, frequent: pa.Table) -> pa.Table:
         kept = np.zeros(0, np.uint64)
@@ -224,11 +231,12 @@ def _counted(runs: DataFrame, frequent: DataFrame, partitions: int, longest: int
             for length, (hashes, at) in enumerate(grams, 1):
                 part = _partition_of(hashes, partitions).astype(np.uint64)
                 wanted = part << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF)
-                place = np.searchsorted(kept, wanted)
-                chosen = at[kept[np.minimum(place, len(kept) - 1)] == wanted] if len(kept) else at[:0]
-                for i, h in zip(chosen.tolist(), lang_of[chosen].tolist(), strict=True):
+                held = _among(wanted, kept)
+                _, first, n = np.unique(hashes[held], return_index=True, return_counts=True)
+                at = at[held][first]
+                for i, h, k in zip(at.tolist(), lang_of[at].tolist(), n.tolist(), strict=True):
                     key = name[h], b" ".join(words[i:i + length]), length
-                    out[key] = out.get(key, 0) + 1
+                    out[key] = out.get(key, 0) + k
         columns = list(zip(*((a, b, c, n) for (a, b, c), n in out.items()), strict=True)) or [[]] * 4
         return pa.table([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.binary()).cast(pa.string()),
                          pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int64())],
