@@ -527,7 +527,7 @@ def questions_searched(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _stage_paths(spark, sf_dir)
     stages.build_reviews(spark, paths)
     stages.build_vectors(spark, paths)
-    turns = _table(spark, sf_dir, "conversations").where("role = 'user'").selectExpr(
+    turns = _table(spark, sf_dir, "conversations").selectExpr(
         "concat(conv_id, '-', turn) AS question_id", "text AS question")
     hits = stages.check_search(spark, paths, turns, _embed_questions)
     return hits.select("question_id", "rank", F.round("similarity", 6).alias("similarity"))
@@ -881,12 +881,12 @@ hits AS (
   WHERE rank <= 5),
 ranked AS (SELECT * FROM hits JOIN reviews USING (review_id))"""
 
-_USER_HITS = _TEXT_HITS.replace(_QUESTIONS, """
+_TURN_HITS = _TEXT_HITS.replace(_QUESTIONS, """
 usable AS (
   SELECT concat(conv_id, '-', turn) AS question_id, text AS question, count(*) OVER (
     PARTITION BY conv_id, turn) AS same
   FROM conversations
-  WHERE role = 'user' AND trim(text, concat(' ', chr(9), chr(10), chr(13))) <> ''),
+  WHERE trim(text, concat(' ', chr(9), chr(10), chr(13))) <> ''),
 questions AS (SELECT question_id, question FROM usable WHERE same = 1)""")
 
 
@@ -1130,7 +1130,7 @@ SELECT question_id, rank, review_id AS id, rating, coalesce(review_title, '') AS
             f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) > 0 AS ok FROM {t}"
             for t in ["documents", "part", "embeddings", "conversations"]),
         # no id reaches the raw files, so of equal reviews the operator's own order decides
-        "questions_searched": f"""WITH {_USER_HITS.replace("review_text ORDER BY doc_id", "review_text ORDER BY " + _OWN_ORDER)}
+        "questions_searched": f"""WITH {_TURN_HITS.replace("review_text ORDER BY doc_id", "review_text ORDER BY " + _OWN_ORDER)}
 SELECT question_id, rank, round(similarity, 6) AS similarity FROM hits WHERE rank <= 2""",
         "typed_numbers": """
 SELECT o_orderkey, round(CAST(CAST(o_totalprice * 1000 AS FLOAT) AS DOUBLE) / 1e4) AS price_large,
