@@ -22,7 +22,8 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+    """The last column is the words that are left, of every document."""
+    return substring.remove_repeats(_table(spark, sf_dir, "documents"), whole=True)
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

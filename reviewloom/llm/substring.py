@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import written
+from reviewloom.llm.common import release, written
 from reviewloom.llm.exchange import (
     _PACKED, answered, bucket_count, gaps, keyed, once, own_id, packed, places_of, runs,
 )
@@ -133,8 +133,13 @@ def _sha(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _split_by_hits(docs: DataFrame, window: int) -> DataFrame:
-    """Results of documents without hits and of copies; texts and hits of the others.
+def _joined(words: list[bytes]) -> str:
+    return b" ".join(words).decode("utf-8", "surrogatepass")
+
+
+def _split_by_hits(docs: DataFrame, window: int, whole: bool) -> DataFrame:
+    """Results of documents without hits and of copies, with whole those that stay with their words;
+    texts and hits of the others.
 
     A copy of a whole text with a smaller id repeats all its windows.
     """
@@ -149,7 +154,7 @@ def _split_by_hits(docs: DataFrame, window: int) -> DataFrame:
                 if copied and len(words) >= window:
                     out.append((len(words), len(words), _sha([]), "", None, None))
                 elif copied or found is None:
-                    out.append((len(words), 0, _sha(words), None, None, None))
+                    out.append((len(words), 0, _sha(words), _joined(words) if whole else None, None, None))
                 else:
                     out.append((len(words), 0, None, None, text, found))
             yield pa.RecordBatch.from_arrays(
@@ -176,7 +181,7 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
                     np.add.at(change, starts + window, -1)
                 gone = np.cumsum(change)[:-1] > 0
                 kept = [w for w, x in zip(words, gone.tolist(), strict=True) if not x]
-                out.append((len(words), int(gone.sum()), _sha(kept), b" ".join(kept).decode("utf-8", "surrogatepass")))
+                out.append((len(words), int(gone.sum()), _sha(kept), _joined(kept)))
             yield pa.RecordBatch.from_arrays(
                 [run.column("id"), pa.array([x[0] for x in out], pa.int64()),
                  pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.string()),
@@ -191,8 +196,10 @@ def gathered(found: DataFrame, name: str) -> DataFrame:
     return found.groupBy("id", "text_hash").agg(F.collect_list("found").alias(name))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(id, n_words, n_removed, kept_sha256, kept) of each row of docs; kept is null where all stays.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW,
+                   whole: bool = False) -> DataFrame:
+    """(id, n_words, n_removed, kept_sha256, kept) of each row of docs; kept, the words that are
+    left, is null where all stay, but with whole.
 
     Every word goes that a window covers whose words also start earlier: in a document with a
     smaller id, or earlier in the same one. Ids are integers; a null id is smaller than all. Null
@@ -211,7 +218,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     known = gathered(probed, "hits").join(copies, ["id", "text_hash"], "full")
     with_hits = source.join(known, ["id", "text_hash"], "left").withColumn(
         "copied", F.coalesce("copied", F.lit(False)))
-    split = written(_split_by_hits(with_hits, window))
+    split = written(_split_by_hits(with_hits, window, whole))
+    release(docs.sparkSession)
     held = split.where("text IS NOT NULL").select("id", "text_hash", "text", "hits")
     repeated = answered(_extended(held, window, buckets), _not_first, 8, _as_gaps)
     rows = held.select("id", "text_hash", "text").join(gathered(repeated, "found"), ["id", "text_hash"], "left")
