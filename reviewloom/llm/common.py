@@ -38,12 +38,6 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of jobs that are done. It does so when the driver's JVM
-    has collected their plans as garbage, which may take long where the driver has little to do."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once a row, however often body uses it."""
     return F.transform(F.array(value), body)[0]
