@@ -2,8 +2,8 @@
 
 A vector belongs to the list of its nearest centroid. What is left of it there is cut into parts,
 and each part is replaced by the number of its nearest codeword, so a vector is a few bytes. A
-question goes through some lists; a table of its distances to all codewords scores their vectors
-by look-ups, and only the best candidates are read in full and ranked by their true similarity.
+question goes through some lists; their vectors are scored as their codes tell them, and only the
+best candidates are read in full and ranked by their true similarity.
 
 Centroids and codewords are fitted on a bounded sample; every vector is indexed.
 """
@@ -19,18 +19,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewloom.operators.search import (
-    TOP_K, VECTOR_BLOCK_BYTES, _column, _hit_schema, _matrix, _norms, _units, hit_types, list_bytes,
-    meet, rank_hits,
+    TOP_K, VECTOR_BLOCK_BYTES, _column, _first_of_each, _hit_schema, _matrix, _norms, _one_cell, _units,
+    hit_types, list_bytes, meet, rank_hits,
 )
 
 # Vectors that the fit sees, the most lists, codewords of a part, and rounds of clustering.
 SAMPLE, MOST_LISTS, WORDS, ROUNDS = 16_384, 1_024, 256, 12
 # Elements of a part of a vector, and candidates of a question that are read in full.
 PART, CANDIDATES = 4, 50
-# Bytes of a question block: each question takes a table of distances in its task, so they are few.
+# Bytes of a question block: a task holds the best candidates of all its questions.
 QUESTION_BYTES = 8 << 20
-# Questions whose tables a task holds at a time.
-_TABLES = 64
+# Probes up to which a question is sent to each of its lists; with more it is sent to all codes once.
+FEW_PROBES = 16
+# Questions and vectors that a task compares at a time.
+_ASKED, _ROWS = 256, 16_384
 
 
 @dataclass(frozen=True)
@@ -64,6 +66,16 @@ class Index:
             codes[:, m] = nearest(parts[:, m], words)
         return lists, codes
 
+    def decode(self, lists: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """What the codes stand for, a row each."""
+        parts = self.words[np.arange(len(self.words))[None, :], codes]
+        return self.centroids[lists] + parts.reshape(len(codes), -1)[:, :self.width]
+
+    def probed(self, units: np.ndarray, probes: int) -> np.ndarray:
+        """The numbers of the nearest lists of each question."""
+        away = (self.centroids ** 2).sum(axis=1)[None] - 2 * units @ self.centroids.T
+        return np.argsort(away, axis=1, kind="stable")[:, :probes].astype(np.int32)
+
     def tables(self, units: np.ndarray, number: int) -> np.ndarray:
         """Squared distances of questions to the codewords of a list: (question, part, codeword)."""
         parts = self.parts(units - self.centroids[number])
@@ -151,46 +163,83 @@ def candidates_of(codes: DataFrame, questions: DataFrame, index: Index, probes:
                   id_col: str = "review_id", block_bytes: tuple[int, int] = (VECTOR_BLOCK_BYTES, QUESTION_BYTES)
                   ) -> DataFrame:
     """(question_id, rank, id, similarity): the best ``most`` vectors per question by the similarity
-    that their codes tell, among the ``probes`` nearest lists. Only ids and codes are read."""
+    that their codes tell, among the ``probes`` nearest lists. Only ids and codes are read.
+
+    A question of few probes meets each of its lists. One of many would be sent, and would have its
+    best, as often as there are lists; it meets blocks of codes of all lists instead, and is compared
+    there with those of its own.
+    """
     if not 1 <= probes:
         raise ValueError("probes must be 1 at least")
     probes = min(probes, len(index.centroids))
-    v = codes.select(F.col(id_col).alias("id"), "code", F.col("cell").cast("int").alias("cell"))
+    v = codes.where("cell >= 0").select(F.col(id_col).alias("id"), "code", F.col("cell").cast("int").alias("list"))
     q = questions.select("question_id", F.col("embedding").alias("asked"))
+    by_list = probes <= FEW_PROBES
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def lists(asked: pa.Array) -> pa.Array:
-        units = index.units(asked)
-        away = (index.centroids ** 2).sum(axis=1)[None] - 2 * units @ index.centroids.T
-        return pa.array(list(np.argsort(away, axis=1, kind="stable")[:, :probes].astype(np.int32)), pa.list_(pa.int32()))
-
-    probing = q.select("question_id", "asked", F.explode(lists("asked")).alias("cell"))
+        return pa.array(list(index.probed(index.units(asked), probes)), pa.list_(pa.int32()))
+
+    if by_list:
+        v = v.withColumn("cell", F.col("list"))
+        probing = q.select("question_id", "asked", F.explode(lists("asked")).alias("cell"))
+    else:
+        v = v.withColumn("cell", _one_cell("id"))
+        probing = q.withColumn("cell", _one_cell("question_id"))
     types = hit_types(v, q)
 
     def score(one: pa.Table, asked: pa.Table) -> pa.Table:
-        order = np.argsort(_column(one, "id").to_numpy(zero_copy_only=False), kind="stable")
-        ids = _column(one, "id").take(pa.array(order))
-        held = np.frombuffer(b"".join(_column(one, "code").to_pylist()), np.uint8).reshape(len(ids), -1)[order]
-        units, number = index.units(_column(asked, "asked")), _column(asked, "cell")[0].as_py()
-        found = []
-        for at in range(0, len(units), _TABLES):
-            tables = index.tables(units[at:at + _TABLES], number)
-            away = np.zeros((len(tables), len(ids)), np.float32)
-            for m in range(held.shape[1]):
-                away += tables[:, m, :][:, held[:, m]]
-            best = np.argsort(away, axis=1, kind="stable")[:, :most]
-            row = np.repeat(np.arange(len(tables)), best.shape[1])
-            found.append(pa.RecordBatch.from_arrays(
-                [_column(asked, "question_id").take(pa.array(at + row)), ids.take(pa.array(best.reshape(-1))),
-                 pa.array((1 - np.take_along_axis(away, best, axis=1) / 2).reshape(-1).astype(np.float64))],
-                types.names))
-        return pa.Table.from_batches([x.cast(types) for x in found], types)
+        one = one.select(["id", "code", "list"]).sort_by("id")
+        ids, number = _column(one, "id"), _column(one, "list").to_numpy()
+        held = np.frombuffer(b"".join(_column(one, "code").to_pylist()), np.uint8).reshape(len(ids), -1)
+        units = index.units(_column(asked, "asked"))
+        near, rows = _best_coded(index, units, number, held, most, None if by_list else probes)
+        found = np.nonzero(rows >= 0)
+        away = (units ** 2).sum(axis=1)[found[0]] - 2 * near[found]
+        return pa.Table.from_arrays(
+            [_column(asked, "question_id").take(pa.array(found[0])), ids.take(pa.array(rows[found])),
+             pa.array((1 - away / 2).astype(np.float64))], names=types.names)
 
     hits = meet(v, probing, (F.octet_length("code") + 64, list_bytes("asked")), block_bytes, score,
                 _hit_schema(v.schema, q.schema), types)
     return rank_hits(hits, most, "id").withColumnRenamed("id", id_col)
 
 
+def _best_coded(index: Index, units: np.ndarray, lists: np.ndarray, codes: np.ndarray, most: int,
+                probes: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(score, row) of the best ``most`` codes of each question, -1 where there are fewer; of equal
+    ones the first. Without ``probes`` every code counts, else those of a question's lists. A part of
+    the codes is decoded at a time, and of its scores those that beat the best so far are kept."""
+    best = np.full((len(units), most), -np.inf, np.float32)
+    rows = np.full((len(units), most), -1, np.int64)
+    own = None
+    if probes is not None and probes < len(index.centroids):
+        own = np.zeros((len(units), len(index.centroids)), bool)
+        for at in range(0, len(units), _ASKED):
+            np.put_along_axis(own[at:at + _ASKED], index.probed(units[at:at + _ASKED], probes), True, axis=1)
+    for start in range(0, len(codes), _ROWS):
+        part = index.decode(lists[start:start + _ROWS], codes[start:start + _ROWS])
+        half = (part ** 2).sum(axis=1) / 2
+        for at in range(0, len(units), _ASKED):
+            tile = slice(at, at + _ASKED)
+            scores = units[tile] @ part.T - half
+            if own is not None:
+                scores[~own[tile][:, lists[start:start + _ROWS]]] = -np.inf
+            least = best[tile, -1:]
+            if start == 0 and scores.shape[1] > most:
+                least = np.nextafter(np.partition(scores, -most, axis=1)[:, -most, None], np.float32(-np.inf))
+            q, r = np.nonzero(scores > least)
+            kept = np.nonzero(rows[tile] >= 0)
+            q, r, score = (np.concatenate(x) for x in (
+                (kept[0], q), (rows[tile][kept], r + start), (best[tile][kept], scores[q, r])))
+            order = np.lexsort((r, -score, q))
+            order = order[_first_of_each(q[order], most)]
+            q, r, score = q[order], r[order], score[order]
+            place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
+            best[at + q, place], rows[at + q, place] = score, r
+    return best, rows
+
+
 def rerank(vectors: DataFrame, questions: DataFrame, found: DataFrame, k: int = TOP_K, id_col: str = "review_id"
            ) -> DataFrame:
     """(question_id, rank, id, similarity): found pairs ranked by their true cosine similarity."""

@@ -133,3 +133,46 @@ def test_an_index_of_nothing(spark, folder):
     codes = vector_index.with_codes(none, index)
     asked = grouped(spark, 3).select(F.col("vec_id").alias("question_id"), F.slice("embedding", 1, 1).alias("embedding"))
     assert vector_index.indexed_topk(none, codes, asked, index, 1, id_col="vec_id").count() == 0
+
+
+def test_a_question_of_many_probes_is_sent_once(spark, folder, monkeypatch):
+    """By list, a question and its best candidates would be there as often as there are lists."""
+    vectors = grouped(spark, 900)
+    questions = asked_of(vectors, 9)
+    sent = []
+
+    def meet(v, probing, *others):
+        sent.append(probing.count())
+        return search.meet(v, probing, *others)
+
+    monkeypatch.setattr(vector_index, "meet", meet)
+    found, _ = indexed(spark, vectors, questions, folder)
+    assert sent[0] == questions.count() and found.count() == 40 * questions.count()
+
+
+@pytest.mark.parametrize("probes", [4, 17, 25])
+def test_candidates_are_the_best_by_their_codes(spark, folder, probes, monkeypatch):
+    monkeypatch.setattr(vector_index, "_ROWS", 100)
+    monkeypatch.setattr(vector_index, "_ASKED", 7)
+    vectors = grouped(spark)
+    questions = asked_of(vectors, 11).where("exists(embedding, x -> x <> 0)")
+    index = vector_index.fit(vectors, "vec_id")
+    probes = min(probes, len(index.centroids))
+    codes = vector_index.with_codes(vectors, index)
+    rows = codes.where("cell >= 0").orderBy("vec_id").collect()
+    lists = np.array([r.cell for r in rows])
+    held = np.array([list(r.code) for r in rows], np.uint8)
+    stands = index.decode(lists, held).astype(np.float64)
+    got = {}
+    for r in vector_index.candidates_of(codes, questions, index, probes, 30, "vec_id").collect():
+        got.setdefault(r.question_id, []).append(r)
+    for q in questions.collect():
+        unit = np.array(q.embedding) / np.linalg.norm(q.embedding)
+        own = np.isin(lists, index.probed(unit[None].astype(np.float32), probes)[0])
+        away = np.where(own, ((unit - stands) ** 2).sum(axis=1), np.inf)
+        best = np.sort(away[own])[:30]
+        mine = sorted(got[q.question_id], key=lambda r: r["rank"])
+        assert len(mine) == len(best)
+        assert np.allclose([r.similarity for r in mine], 1 - best / 2, atol=1e-4)
+        place = {r.vec_id: i for i, r in enumerate(rows)}
+        assert np.allclose([away[place[r.vec_id]] for r in mine], best, atol=2e-4)
