@@ -287,3 +287,30 @@ def test_split_questions(spark):
         (None, "question_id is null"), (1, "question is empty"), (2, "question is empty"), (3, "question is empty"),
         (4, "question is null"), (5, "question is empty"),
         *[(i, "question_id is not unique") for i in (7, 7, 8, 8)]]
+
+
+def test_small_blocks_grow_before_they_become_many(spark, monkeypatch):
+    """Each block is sent to all of the other side, so with fixed sizes the rows sent grew with the square."""
+    monkeypatch.setattr(search, "VECTOR_BLOCK_BYTES", 1 << 20)
+    monkeypatch.setattr(search, "QUESTION_BLOCK_BYTES", 1 << 20)
+    vectors = list(enumerate(random_vectors(400, 8, 18)))
+    v, q = frames(spark, vectors, vectors)
+    assert rows(search.cosine_topk(v, q, 3, block_bytes=(4096, 4096))) == rows(search.cosine_topk(v, q, 3))
+    one = v.select(F.col("review_id").alias("id"), "embedding", search._one_cell("review_id").alias("cell"))
+    other = q.select("question_id", F.col("embedding").alias("asked"))
+    hits = search._by_blocks(one, other, 3, None, None, 4096, 4096)
+    assert hits.count() == 400 * 3 * search.SMALL_BLOCKS  # each block of vectors has its best three
+
+
+def test_the_best_by_groups_of_rows():
+    rng = np.random.default_rng(8)
+    rows_, asked = rng.normal(size=(5000, 6)).astype(np.float32), rng.normal(size=(40, 6)).astype(np.float32)
+    rows_[7] = 0
+    rows_[100:140] = rows_[3]
+    asked[5], asked[6] = 0, rows_[3]
+    questions = search.Questions(pa.array(np.arange(40)), asked)
+    batches = list(search._score(questions, 4, pa.array(np.arange(5000)),
+                                 pa.array(rows_.tolist(), pa.list_(pa.float32())), pa.array(np.zeros(5000, np.int32))))
+    got = sorted(zip(*(sum((b.column(c).to_pylist() for b in batches), []) for c in ("question_id", "id"))))
+    want = brute_force(list(enumerate(rows_)), list(enumerate(asked)), 4)
+    assert got == sorted((q, v) for q, _, v, _ in want)
