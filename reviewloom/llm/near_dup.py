@@ -29,8 +29,8 @@ LINK = 75
 #: Wanted share of the pairs at the threshold that meet in a node of the second level; it gives
 #: the number of trees.
 RECALL, DEPTH, NODE = 0.999, 4, 64
-#: Documents compared at once on their full sets.
-BLOCK = 256
+#: Documents compared at once on their full sets, and sketches of a side that meet in a task.
+BLOCK, CHUNK = 256, 2_048
 BINS = 128
 
 
@@ -90,11 +90,13 @@ def sketches(docs: DataFrame, id_col: str, text: str, trees: int, depth: int) ->
                                  " paths array<long>, sketch binary")
 
 
-def _leaves(classes: DataFrame, trees: int, depth: int, most: int) -> DataFrame:
-    """(node, id): documents of the nodes to compare, each node of at most most + 1 documents.
+def _leaves(classes: DataFrame, trees: int, depth: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """(node, id): documents of the nodes to compare, each node of at most most + 1 documents; and
+    (node, id, n): those of nodes that hold n, which is more, on the last level.
 
     A node with more branches; on the last level it is dealt to parts, each with the node's
-    smallest id, which keeps the parts of one family together.
+    smallest id, which keeps the parts of one family together. What that does not connect is left
+    to _left_apart.
     """
     level = classes.select("id", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(trees - 1)),
@@ -110,7 +112,8 @@ def _leaves(classes: DataFrame, trees: int, depth: int, most: int) -> DataFrame:
     parts = F.ceil(F.col("n") / most)
     dealt = level.withColumn("node", F.xxhash64("node", F.pmod(F.xxhash64("id", "node"), parts)))
     leaders = dealt.select("node", F.col("leader").alias("id")).distinct()
-    return found.unionByName(dealt.select("node", "id")).unionByName(leaders).distinct()
+    return (found.unionByName(dealt.select("node", "id")).unionByName(leaders).distinct(),
+            level.select("node", "id", "n"))
 
 
 class _Forest:
@@ -132,15 +135,20 @@ class _Forest:
 
 
 def _alike(sizes: np.ndarray, bins: np.ndarray) -> np.ndarray:
-    """Pairs of places that may be linked, by size and sketch: four deviations below the threshold."""
-    held = bins > 0
-    same = (bins[:, None, :] == bins[None, :, :]) & held[:, None, :]
-    either = (held[:, None, :] | held[None, :, :]).sum(axis=2)
+    """Pairs of places that may be linked, by size and sketch."""
+    return np.argwhere(np.triu(_may_link(sizes, bins, sizes, bins), 1))
+
+
+def _may_link(sizes: np.ndarray, bins: np.ndarray, others: np.ndarray, other_bins: np.ndarray) -> np.ndarray:
+    """Whether each may be linked with each other, by size and sketch: four deviations below the threshold."""
+    held, other_held = bins > 0, other_bins > 0
+    same = (bins[:, None, :] == other_bins[None, :, :]) & held[:, None, :]
+    either = (held[:, None, :] | other_held[None, :, :]).sum(axis=2)
     share = same.sum(axis=2) / np.maximum(either, 1)
     link = LINK / 100
     least = link - 4 * np.sqrt(link * (1 - link) / np.maximum(either, 1))
-    small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
-    return np.argwhere(np.triu((share >= least) & (100 * small >= LINK * large), 1))
+    small, large = np.minimum.outer(sizes, others), np.maximum.outer(sizes, others)
+    return (share >= least) & (100 * small >= LINK * large)
 
 
 class _Ids(dict):
@@ -161,6 +169,13 @@ class _Ids(dict):
         self[max(a, b)] = min(a, b)
 
 
+def _links_of(forest: _Ids, kind: str) -> Iterator[pa.RecordBatch]:
+    links = [(x, forest.root(x)) for x in list(forest) if forest.root(x) != x]
+    for at in range(0, len(links), 10_000):
+        some = list(zip(*links[at:at + 10_000], strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(x, arrow_type(kind)) for x in some], ["a", "b"])
+
+
 def _candidates(leaves: DataFrame, classes: DataFrame, kind: str) -> DataFrame:
     """(a, b): the likely links in all nodes, as a forest for each partition."""
 
@@ -178,10 +193,7 @@ def _candidates(leaves: DataFrame, classes: DataFrame, kind: str) -> DataFrame:
                 for i, j in _alike(sizes[start:end], bins[start:end]).tolist():
                     forest.join(ids[start + i], ids[start + j])
                 start = end
-        links = [(x, forest.root(x)) for x in list(forest) if forest.root(x) != x]
-        for at in range(0, len(links), 10_000):
-            some = list(zip(*links[at:at + 10_000], strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(x, arrow_type(kind)) for x in some], ["a", "b"])
+        yield from _links_of(forest, kind)
 
     nodes = (leaves.join(classes.select("id", "n_shingles", "sketch"), "id")
              .groupBy("node").agg(F.collect_list(F.struct("id", "n_shingles", "sketch")).alias("members"))
@@ -189,6 +201,57 @@ def _candidates(leaves: DataFrame, classes: DataFrame, kind: str) -> DataFrame:
     return nodes.mapInArrow(compared, f"a {kind}, b {kind}")
 
 
+def _left_apart(large: DataFrame, likely: DataFrame, classes: DataFrame, kind: str, chunk: int = CHUNK) -> DataFrame:
+    """(a, b): the likely links that dealing the large nodes to parts has missed.
+
+    large: (node, id, n) of the nodes; likely: (id, group) as connected so far. In a node of several
+    groups every document outside the largest is compared with the whole node, chunk by chunk: that is
+    each pair that is not connected yet. A family of near copies is one group and costs nothing here.
+    """
+    placed = large.join(likely, "id", "left").select("node", "id", "n", F.coalesce("group", "id").alias("group"))
+    placed = written(placed)
+    sizes = placed.groupBy("node", "group").agg(F.count("*").alias("size"))
+    several = sizes.groupBy("node").agg(
+        F.max(F.struct("size", "group")).alias("top"), F.sum("size").alias("all")).where("all > top.size").select(
+        "node", F.col("top.group").alias("largest"), F.ceil(F.col("all") / chunk).alias("chunks"),
+        F.ceil((F.col("all") - F.col("top.size")) / chunk).alias("parts"))
+    rows = written(placed.select("node", "id", "group").join(several, "node").join(
+        classes.select("id", "n_shingles", "sketch"), "id"))
+
+    def dealt(count: str, salt: str):
+        return F.pmod(F.xxhash64("id", F.lit(salt)), F.col(count))
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    member = F.struct("side", "id", "group", "n_shingles", "sketch").alias("member")
+    left = (rows.where("group <> largest").withColumn("part", dealt("parts", "part"))
+            .withColumn("chunk", every("chunks")).withColumn("side", F.lit(0)))
+    right = rows.withColumn("chunk", dealt("chunks", "chunk")).withColumn("part", every("parts")).withColumn("side", F.lit(1))
+    meeting = left.select("node", "part", "chunk", member).unionByName(right.select("node", "part", "chunk", member))
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = _Ids()
+        for batch in batches:
+            for members in batch.column(0):
+                flat = members.values
+                ids, groups = flat.field("id").to_pylist(), flat.field("group").to_numpy(zero_copy_only=False)
+                sizes = flat.field("n_shingles").to_numpy(zero_copy_only=False)
+                bins = np.frombuffer(b"".join(flat.field("sketch").to_pylist()), "<u2").reshape(-1, BINS)
+                side = flat.field("side").to_numpy(zero_copy_only=False)
+                one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+                for at in range(0, len(one), 32):
+                    some = one[at:at + 32]
+                    found = _may_link(sizes[some], bins[some], sizes[two], bins[two])
+                    found &= groups[some][:, None] != groups[two][None, :]
+                    for i, j in np.argwhere(found).tolist():
+                        forest.join(ids[some[i]], ids[two[j]])
+        yield from _links_of(forest, kind)
+
+    nodes = meeting.groupBy("node", "part", "chunk").agg(F.collect_list("member").alias("members")).select("members")
+    return nodes.mapInArrow(compared, f"a {kind}, b {kind}")
+
+
 def shared_counts(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
     """Sizes of the intersections of all sets with all others (or with each other)."""
     both = sets + (others or [])
@@ -363,6 +426,11 @@ def _verified(groups: DataFrame, texts: DataFrame, kind: str, block: int) -> Dat
         "id", F.coalesce("last", "component").alias("component")))
 
 
+def _groups(links: DataFrame) -> DataFrame:
+    """(id, group) of the connected documents."""
+    return written(components(links).select(F.col("node").alias("id"), F.col("component").alias("group")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", recall: float = RECALL,
                     depth: int = DEPTH, node: int = NODE, block: int = BLOCK) -> DataFrame:
     """(id, text_hash, n_shingles, component_id, kept) of each row of docs.
@@ -382,8 +450,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         sketch.where("n_shingles > 0").groupBy(*own).agg(
             F.min("id").alias("id"), F.first("paths").alias("paths"), F.first("sketch").alias("sketch"))
         .where("id IS NOT NULL"))
-    likely = components(_candidates(_leaves(classes, trees, depth, node), classes, kind))
-    likely = written(likely.select(F.col("node").alias("id"), F.col("component").alias("group")))
+    leaves, large = _leaves(classes, trees, depth, node)
+    likely = _groups(_candidates(leaves, classes, kind))
+    if not large.isEmpty():
+        apart = written(_left_apart(large, likely, classes, kind))
+        if not apart.isEmpty():
+            known = likely.select(F.col("id").alias("a"), F.col("group").alias("b")).where("a <> b")
+            likely = _groups(known.unionByName(apart))
     groups = likely.join(likely.groupBy("group").agg(F.count("*").alias("n")), "group")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     part = _verified(groups, texts, kind, block).groupBy("id").agg(F.min("component").alias("component"))

@@ -62,6 +62,21 @@ def test_components_as_by_all_pairs(spark, node, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
 
 
+def test_links_inside_a_large_node(spark):
+    """Documents that share a passage, in near pairs: in a node too large for one comparison the pairs
+    lie in different parts of it, and none may be lost."""
+    rng = random.Random(3)
+    shared = sentence(rng, 140).split()
+    texts = []
+    for _ in range(150):
+        own = sentence(rng, 60).split()
+        other = own[:52] + sentence(rng, 8).split()
+        texts += [" ".join(shared + own), " ".join(shared + other)]
+    rng.shuffle(texts)
+    rows = near_dup.near_duplicates(documents(spark, texts), recall=0.9, depth=1, node=4).collect()
+    assert {r.doc_id: r.component_id for r in rows} == expected(texts)
+
+
 def test_number_of_trees_follows_the_recall():
     assert near_dup.trees_for(0.999) == 9
     assert near_dup.trees_for(0.99) < near_dup.trees_for(0.9999)
