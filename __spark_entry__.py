@@ -143,7 +143,7 @@ def _model():
         import hashlib
         import re
 
-        @functools.lru_cache(maxsize=1 << 20)
+        @functools.lru_cache(maxsize=1 << 16)
         def dimension(token: str) -> int:
             return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % 384
 

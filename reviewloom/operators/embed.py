@@ -22,9 +22,10 @@ MODEL_BATCH = 64
 # Folders of a vector table that is laid out by id, and the column that names them.
 SHARDS, SHARD = 64, "shard"
 
-# Rows split into tokens at a time, and tokens whose dimension a task remembers.
-_HASH_ROWS = 2_048
-_KNOWN_TOKENS = 1 << 20
+# Rows split into tokens at a time, and tokens whose dimension a task remembers. New tokens never end
+# in a growing text, so the second number is memory of every worker.
+_HASH_ROWS = 512
+_KNOWN_TOKENS = 1 << 16
 _TOKEN_BYTES = bytes(
     byte if chr(byte) in string.ascii_lowercase + string.digits else 0x20 for byte in range(256)
 )
@@ -107,7 +108,7 @@ class _Dimensions(dict):
         self.width = width
 
     def __missing__(self, token: bytes) -> int:
-        if len(self) > _KNOWN_TOKENS:
+        if len(self) >= _KNOWN_TOKENS:
             self.clear()
         digest = hashlib.md5(token, usedforsecurity=False).digest()
         self[token] = int.from_bytes(digest[:4], "big") % self.width if token else -1
@@ -181,10 +182,9 @@ def embed_with(
         model = factory()
         width = None
         for batch in batches:
-            texts = batch.to_pylist()
             rows: list[np.ndarray] = []
-            for start in range(0, len(texts), batch_size):
-                part = texts[start:start + batch_size]
+            for start in range(0, len(batch), batch_size):
+                part = batch.slice(start, batch_size).to_pylist()
                 got = [np.asarray(vector, dtype=np.float32) for vector in model(part)]
                 if len(got) != len(part):
                     raise ValueError(f"model returned {len(got)} vectors for {len(part)} texts")

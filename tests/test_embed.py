@@ -122,3 +122,13 @@ def test_vectors_of_unequal_width_are_an_error(spark):
     df = spark.createDataFrame([("a",), ("bb",)], "embed_text string").coalesce(1)
     with pytest.raises(Exception, match="wide"):
         embed.embed_with(df, lambda: lambda texts: [[1.0] * len(t) for t in texts]).collect()
+
+
+def test_new_tokens_without_end_take_no_more_memory():
+    dimensions = embed._Dimensions(8)
+    for at in range(0, 200_000, 50_000):
+        for n in range(at, at + 50_000):
+            dimensions[b"%d" % n]
+        assert len(dimensions) <= 1 << 16
+    want = int.from_bytes(hashlib.md5(b"7").digest()[:4], "big") % 8
+    assert dimensions[b"7"] == want and dimensions[b""] == -1
