@@ -14,13 +14,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewloom.operators.search import (
-    TOP_K, VECTOR_BLOCK_BYTES, _column, _first_of_each, _hit_schema, _matrix, _norms, _one_cell, _units,
-    hit_types, list_bytes, meet, rank_hits,
+    QUESTION_BLOCK_BYTES, TOP_K, VECTOR_BLOCK_BYTES, Questions, _column, _first_of_each, _hit_schema, _matrix, _norms,
+    _one_cell, _similarity, _units, hit_types, list_bytes, meet, rank_hits,
 )
 
 # Vectors that the fit sees, the most lists, codewords of a part, and rounds of clustering.
@@ -240,21 +241,45 @@ def _best_coded(index: Index, units: np.ndarray, lists: np.ndarray, codes: np.nd
     return best, rows
 
 
-def rerank(vectors: DataFrame, questions: DataFrame, found: DataFrame, k: int = TOP_K, id_col: str = "review_id"
-           ) -> DataFrame:
-    """(question_id, rank, id, similarity): found pairs ranked by their true cosine similarity."""
+def rerank(vectors: DataFrame, questions: DataFrame, found: DataFrame, k: int = TOP_K, id_col: str = "review_id",
+           block_bytes: tuple[int, int] = (VECTOR_BLOCK_BYTES, QUESTION_BLOCK_BYTES)) -> DataFrame:
+    """(question_id, rank, id, similarity): found pairs ranked by their true cosine similarity.
+
+    Ids are unique on both sides. A question is sent once to each block of vectors that holds
+    candidates of it, with their ids, and not once a pair.
+    """
+    one = _one_cell("id").alias("one")
+    v = vectors.select(F.col(id_col).alias("id"), "embedding", one)
+    blocks = F.broadcast(v.groupBy("one").agg(
+        F.greatest(F.ceil(F.sum(list_bytes("embedding")) / block_bytes[0]), F.lit(1)).alias("blocks")))
+    cell = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("cell")
+    pairs = found.select("question_id", F.col(id_col).alias("id")).where("id IS NOT NULL").repartition("question_id")
     asked = questions.select("question_id", F.col("embedding").alias("asked"))
-    pairs = found.select("question_id", id_col).join(vectors.select(id_col, "embedding"), id_col).join(asked, "question_id")
+    q = (pairs.select("*", one).join(blocks, "one").select("question_id", "id", cell)
+         .groupBy("question_id", "cell").agg(F.collect_list("id").alias("ids")).join(asked, "question_id"))
+    v = v.join(blocks, "one").select("id", "embedding", cell)
+    types = hit_types(v, q)
 
-    @F.arrow_udf(T.DoubleType())
-    def similarity(one: pa.Array, other: pa.Array) -> pa.Array:
-        a, b = _matrix(one).astype(np.float64), _matrix(other).astype(np.float64)
-        lengths = _norms(a) * _norms(b)
-        out = np.full(len(a), np.nan)
-        np.divide((a * b).sum(axis=1) if len(a) else lengths, lengths, out=out, where=lengths > 0)
-        return pa.array(out, pa.float64(), from_pandas=True)
+    def score(some: pa.Table, asking: pa.Table) -> pa.Table:
+        ids, wanted = _column(some, "id"), _column(asking, "ids")
+        of, wanted = pc.list_parent_indices(wanted).to_numpy(), wanted.flatten()
+        rows = pc.index_in(wanted, value_set=ids)
+        here = rows.is_valid()
+        of, wanted = of[here.to_numpy(zero_copy_only=False)], wanted.filter(here)
+        matrix = _matrix(_column(some, "embedding"))
+        those = Questions(_column(asking, "question_id"), _matrix(_column(asking, "asked"), matrix.shape[1]))
+        similarity = _similarity(matrix, _norms(matrix), rows.drop_null().to_numpy(), those, of)
+        place = np.empty(len(ids), np.int64)
+        place[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+        order = np.lexsort((place[rows.drop_null().to_numpy()], np.nan_to_num(-similarity, nan=2.0), of))
+        best = order[_first_of_each(of[order], k)]
+        return pa.Table.from_arrays(
+            [those.ids.take(pa.array(of[best])), wanted.take(pa.array(best)),
+             pa.array(similarity[best], pa.float64(), from_pandas=True)], names=types.names)
 
-    return rank_hits(pairs.select("question_id", id_col, similarity("embedding", "asked").alias("similarity")), k, id_col)
+    hits = meet(v, q, (list_bytes("embedding"), list_bytes("asked") + F.size("ids") * 16), block_bytes, score,
+                _hit_schema(v.schema, q.schema), types)
+    return rank_hits(hits.withColumnRenamed("id", id_col), k, id_col)
 
 
 def indexed_topk(vectors: DataFrame, codes: DataFrame, questions: DataFrame, index: Index, probes: int,

@@ -176,3 +176,25 @@ def test_candidates_are_the_best_by_their_codes(spark, folder, probes, monkeypat
         assert np.allclose([r.similarity for r in mine], 1 - best / 2, atol=1e-4)
         place = {r.vec_id: i for i, r in enumerate(rows)}
         assert np.allclose([away[place[r.vec_id]] for r in mine], best, atol=2e-4)
+
+
+@pytest.mark.parametrize("sizes", [(32 << 20, 64 << 20), (9_000, 4_000)])
+def test_found_pairs_are_ranked_by_blocks(spark, monkeypatch, sizes):
+    """A pair carries no vector: a question goes once to a block of vectors that holds candidates of it."""
+    vectors = grouped(spark)
+    questions = asked_of(vectors, 7)
+    sent = []
+
+    def meet(v, probing, *others):
+        sent.append((v.select("cell").distinct().count(), probing.count(), probing.select(F.sum(F.size("ids"))).first()[0]))
+        return search.meet(v, probing, *others)
+
+    monkeypatch.setattr(vector_index, "meet", meet)
+    found = questions.select("question_id").crossJoin(vectors.select("vec_id")).where("(vec_id + question_id) % 3 < 2")
+    hits = vector_index.rerank(vectors, questions, found, 6, "vec_id", sizes)
+    every = search.cosine_topk(vectors, questions, vectors.count(), "vec_id")
+    best = search.rank_hits(every.join(found, ["question_id", "vec_id"]), 6, "vec_id")
+    assert rows_of(hits) == rows_of(best)
+    blocks, rows, pairs = sent[0]
+    assert rows <= blocks * questions.count() and pairs == found.count()
+    assert blocks == 1 if sizes[0] > 9_000 else blocks > 3
