@@ -22,6 +22,7 @@ from reviewloom.llm.exchange import (
     _PACKED, answered, bucket_count, gaps, keyed, once, own_id, packed, places_of, runs,
 )
 from reviewloom.llm.hashing import WordHashes, spaced_words, windows
+from reviewloom.operators.dedupe import filter_bits, key_filter, with_seen
 
 WINDOW = 20
 
@@ -186,6 +187,17 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(judged, "id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
+def _parted(source: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents that are not known for sure, those that may be): by a Bloom filter, so that the
+    texts of the first need no shuffle. Where the filter is full, more go with the second."""
+    key = F.xxhash64("id", "text_hash").alias("key")
+    bits = filter_bits(known.count())
+    seen = F.broadcast(written(key_filter(known.select(key), "key", bits)))
+    judged = with_seen(source.select("*", key), "key", seen, bits)
+    columns = ["id", "text_hash", "text"]
+    return judged.where("NOT maybe_seen").select(*columns), judged.where("maybe_seen").select(*columns)
+
+
 def gathered(found: DataFrame, name: str) -> DataFrame:
     """One row a document: the answers of all runs that hold it."""
     return found.groupBy("id", "text_hash").agg(F.collect_list("found").alias(name))
@@ -208,12 +220,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     copies = (rows.join(first.where("least < most"), ["text_hash", "size"]).where("id > least")
               .select("id", "text_hash").distinct().withColumn("copied", F.lit(True)))
     probed = answered(_probes(source, window, buckets), _hits, 4, _as_gaps)
-    known = gathered(probed, "hits").join(copies, ["id", "text_hash"], "full")
-    with_hits = source.join(known, ["id", "text_hash"], "left").withColumn(
+    known = written(gathered(probed, "hits").join(copies, ["id", "text_hash"], "full"))
+    whole, some = _parted(source, known)
+    with_hits = some.join(known, ["id", "text_hash"], "left").withColumn(
         "copied", F.coalesce("copied", F.lit(False)))
     split = written(_split_by_hits(with_hits, window))
     held = split.where("text IS NOT NULL").select("id", "text_hash", "text", "hits")
     repeated = answered(_extended(held, window, buckets), _not_first, 8, _as_gaps)
     rows = held.select("id", "text_hash", "text").join(gathered(repeated, "found"), ["id", "text_hash"], "left")
-    whole = split.where("text IS NULL").select("id", "n_words", "n_removed", "kept_sha256", "kept")
-    return whole.unionByName(_cut(rows, window)).select(own_id(id_col), "n_words", "n_removed", "kept_sha256", "kept")
+    whole = whole.select("*", F.lit(None).cast("array<binary>").alias("hits"), F.lit(False).alias("copied"))
+    done = _split_by_hits(whole, window).unionByName(split.where("text IS NULL"))
+    done = done.select("id", "n_words", "n_removed", "kept_sha256", "kept")
+    return done.unionByName(_cut(rows, window)).select(own_id(id_col), "n_words", "n_removed", "kept_sha256", "kept")

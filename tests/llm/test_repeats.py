@@ -133,3 +133,24 @@ def test_awkward_rows(spark, operator):
     assert by_id[7][0].kept_sha256 == by_id[7][1].kept_sha256
     assert by_id[6][0].n_removed > 10_000  # the second copy of the long text
     assert operator(nothing(spark)).count() == 0
+
+
+def test_texts_without_repeats_stay_where_they_are(spark, monkeypatch):
+    """Only what may hold a hit is joined with its hits, and written with its text."""
+    rng = random.Random(9)
+    shared = " ".join(f"common{i}" for i in range(30))
+    texts = [" ".join(f"own{i}of{n}" for i in range(rng.randrange(20, 60))) for n in range(300)]
+    texts += [f"before {shared}", f"{shared} after", texts[4]]
+    sizes, written = [], substring.written
+
+    def counted(df):
+        table = written(df)
+        if "text" in table.columns:
+            sizes.append(table.count())
+        return table
+
+    monkeypatch.setattr(substring, "written", counted)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256)
+           for r in substring.remove_repeats(documents(spark, texts)).collect()}
+    assert got == words_removed(texts, 20)
+    assert sizes and sum(sizes) < 40
