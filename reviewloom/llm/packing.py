@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 SEQUENCE = 2048
 END = 0
 SHARD_ROWS = 50_000
-#: Words whose ids a Python worker remembers; all are forgotten when there are more.
-REMEMBERED = 900_000
+#: Words whose ids a Python worker remembers, as long as it lives, also while it does other stages; when
+#: there are more, all but those of the texts at hand are forgotten.
+REMEMBERED = 300_000
 #: Text is cut at a space before something else than white space: no token spans such a place,
 #: as the tokenizer's own pattern takes at most one space before a word, and cuts there too.
 _CUT = re.compile(r"(?= (?=\S))")
@@ -80,8 +81,9 @@ class Ids:
     def _learn(self, words: set[str], space: str, known: dict[str, bytes]) -> None:
         missing = words.difference(known)
         if len(known) + len(missing) > REMEMBERED:
+            used = {x: known[x] for x in words.difference(missing)}
             known.clear()
-            missing = words
+            known.update(used)
         rest = self._plain(missing, space, known)
         for at in range(0, len(rest), 20_000):
             some = rest[at:at + 20_000]

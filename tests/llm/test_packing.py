@@ -90,3 +90,17 @@ def test_awkward_rows(spark):
     assert {r.doc_id for r in rows} == {None, *range(1, 10)}
     assert len([r for r in rows if r.doc_id == 7]) == 2
     assert packing.pack(nothing(spark), PATH).count() == 0
+
+
+def test_words_in_use_are_not_forgotten(monkeypatch):
+    """So that few words need to be held: a worker keeps them while it does other stages."""
+    with open(PATH, encoding="utf-8") as file:
+        own = packing.Ids(file.read())
+    learnt, plain = [], own._plain
+    monkeypatch.setattr(own, "_plain", lambda words, *more: learnt.append(sorted(words)) or plain(words, *more))
+    monkeypatch.setattr(packing, "REMEMBERED", 4)
+    own.of(["x one two three"])
+    own.of(["x one two four five"])
+    assert learnt[-1] == ["five", "four"] and sorted(own.known) == ["five", "four", "one", "two"]
+    own.of(["x " + " ".join(f"w{i}" for i in range(9))])
+    assert len(own.known) == 9 and plain_ids(own, ["x one two"])[0] == np.frombuffer(own.of(["x one two"])[0], "<u4").tolist()
