@@ -198,3 +198,26 @@ def test_found_pairs_are_ranked_by_blocks(spark, monkeypatch, sizes):
     blocks, rows, pairs = sent[0]
     assert rows <= blocks * questions.count() and pairs == found.count()
     assert blocks == 1 if sizes[0] > 9_000 else blocks > 3
+
+
+def test_a_question_is_sent_once_to_a_group_of_blocks(spark, folder, monkeypatch):
+    """It was sent to each block that the bounds leave over, and each returned its best k."""
+    met, vectors = [], grouped(spark)
+
+    def counted(v, probing, *rest):
+        hits = search.meet(v, probing, *rest)
+        met.append((probing.count(), hits.count()))
+        return hits
+
+    monkeypatch.setattr(pruned, "meet", counted)
+    questions = asked_of(vectors).where("exists(embedding, x -> x <> 0)")
+    got = searched(spark, vectors, questions, folder)
+    assert rows_of(got) == rows_of(search.cosine_topk(vectors, questions, 4, "vec_id"))
+    n = questions.count()
+    (first, _), (second, hits) = met
+    assert first == n and second <= n and hits < 4 * n
+
+
+def test_groups_of_blocks_hold_so_many_bytes():
+    bounds = pruned.Bounds(np.arange(-1, 5), np.array([3, 4, 2, 9, 1, 1]), np.zeros((6, 1)), np.zeros((6, 1)))
+    assert bounds.groups(10, 70).tolist() == [0, 0, 1, 2, 3, 3]
