@@ -8,6 +8,7 @@ sequences with that gap becomes smallest, which keeps gaps of every size at hand
 from __future__ import annotations
 
 import json
+import pickle
 import re
 import sys
 import zlib
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 SEQUENCE = 2048
 END = 0
 SHARD_ROWS = 50_000
-#: Words whose ids a Python worker remembers, as long as it lives, also while it does other stages; when
-#: there are more, all but those of the texts at hand are forgotten.
+#: Words whose ids a task remembers; when there are more, all but those of the texts at hand are
+#: forgotten. Of these the worker takes the ones it had met before into its next task.
 REMEMBERED = 900_000
 #: Text is cut at a space before something else than white space: no token spans such a place,
 #: as the tokenizer's own pattern takes at most one space before a word, and cuts there too.
@@ -65,6 +66,7 @@ class Ids:
         self.marks = {m: np.array([ranks[m.encode()]] if m else [], "<u4").tobytes() for m in (",", ".", "")}
         self.known: dict[str, bytes] = {}  # words after a space, without it
         self.others: dict[str, bytes] = {}  # parts as they stand
+        self.again: set[str] = set()  # words of the last texts that were known before them
 
     def _plain(self, words: set[str], space: str, known: dict[str, bytes]) -> list[str]:
         """Learns plain words; returns the others."""
@@ -101,10 +103,19 @@ class Ids:
             firsts.append(first)
             spaced.append(more)
         self._learn(set(firsts), "", self.others)
-        self._learn(set().union(*spaced) if spaced else set(), " ", self.known)
+        words = set().union(*spaced)
+        self.again = words.intersection(self.known)
+        self._learn(words, " ", self.known)
         get = self.known.__getitem__
         return [self.others[a] + b"".join(map(get, more)) for a, more in zip(firsts, spaced, strict=True)]
 
+    def forget(self) -> None:
+        """Leaves the words of the last texts that were known before them, as copies, so that the memory
+        around them is free for the other stages of a worker."""
+        kept = pickle.dumps({x: self.known[x] for x in self.again})
+        self.known, self.others, self.again = {}, {}, set()
+        self.known = pickle.loads(kept)
+
 
 def worker_ids(key: str, vocabulary: str) -> Ids:
     """One Ids for all tasks of a Python worker process."""
@@ -134,21 +145,24 @@ def tokenized(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", tex
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = worker_ids(key, vocabulary.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                rows: list[list] = [[], [], [], [], []]
-                texts = [x or "" for x in part.column(1).to_pylist()]
-                for row, data in enumerate(ids.of(texts)):
-                    data = memoryview(data + end)
-                    for k, (start, length) in enumerate(cut(len(data) // 4, most)):
-                        crc = zlib.crc32(data[4 * start:4 * (start + length)])
-                        for out, x in zip(rows, (row, k, start, length, crc), strict=True):
-                            out.append(x)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows[0], pa.int64())), pa.array(rows[1], pa.int32()),
-                     *(pa.array(x, pa.int64()) for x in rows[2:])],
-                    ["id", "piece", "start", "length", "ids_crc32"])
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1000):
+                    part = batch.slice(at, 1000)
+                    rows: list[list] = [[], [], [], [], []]
+                    texts = [x or "" for x in part.column(1).to_pylist()]
+                    for row, data in enumerate(ids.of(texts)):
+                        data = memoryview(data + end)
+                        for k, (start, length) in enumerate(cut(len(data) // 4, most)):
+                            crc = zlib.crc32(data[4 * start:4 * (start + length)])
+                            for out, x in zip(rows, (row, k, start, length, crc), strict=True):
+                                out.append(x)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(pa.array(rows[0], pa.int64())), pa.array(rows[1], pa.int32()),
+                         *(pa.array(x, pa.int64()) for x in rows[2:])],
+                        ["id", "piece", "start", "length", "ids_crc32"])
+        finally:
+            ids.forget()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

@@ -104,3 +104,36 @@ def test_words_in_use_are_not_forgotten(monkeypatch):
     assert learnt[-1] == ["five", "four"] and sorted(own.known) == ["five", "four", "one", "two"]
     own.of(["x " + " ".join(f"w{i}" for i in range(9))])
     assert len(own.known) == 9 and plain_ids(own, ["x one two"])[0] == np.frombuffer(own.of(["x one two"])[0], "<u4").tolist()
+
+
+def test_a_task_leaves_few_words_in_its_worker(spark):
+    """Words that a worker still held while it did other stages took more memory than those stages."""
+    texts = [f"the same {i} " + " ".join(f"w{i}x{j}" for j in range(50)) for i in range(3_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.tokenized(docs, path).count() == 3_000
+
+    def held(batches):
+        import sys
+
+        import pyarrow as pa
+        for _ in batches:
+            pass
+        made = sys.__dict__.get("_llm_ids", {})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([len(x.known) + len(x.others) for x in made.values()], pa.int64())], ["words"])
+
+    left = [x for x, in spark.range(200, numPartitions=20).mapInArrow(held, "words long").collect()]
+    assert left and max(left) < 1_000
+
+
+def test_ids_after_words_were_forgotten(ids):
+    own = packing.Ids(open(public_tokenizers.path("byte_bpe_50k.json")).read())
+    own.forget()
+    assert own.known == {}
+    texts = ["a one two", "b  two\nthree ", "", "one"]
+    first = own.of(texts)
+    own.of(["x two four", "y three"])
+    own.forget()
+    assert sorted(own.known) == ["two"] and own.others == {}
+    assert own.of(texts) == first and plain_ids(ids, texts) == [np.frombuffer(x, "<u4").tolist() for x in first]
