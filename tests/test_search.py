@@ -314,3 +314,30 @@ def test_the_best_by_groups_of_rows():
     got = sorted(zip(*(sum((b.column(c).to_pylist() for b in batches), []) for c in ("question_id", "id"))))
     want = brute_force(list(enumerate(rows_)), list(enumerate(asked)), 4)
     assert got == sorted((q, v) for q, _, v, _ in want)
+
+
+def test_rounds_find_what_one_search_finds(spark, folder, monkeypatch):
+    """All blocks of both sides at once took disk with the product of both tables."""
+    v, q = frames(spark, list(enumerate(random_vectors(200, 8, 31))), list(enumerate(random_vectors(150, 8, 32))))
+    once = rows(search.cosine_topk(v, q, 3))
+    monkeypatch.setattr(search, "QUESTION_BLOCK_BYTES", 16 * 128 * 16 // 15)
+    asked = []
+
+    def topk(some):
+        asked.append([r[0] for r in some.select("question_id").collect()])
+        return search.cosine_topk(v, some, 3)
+
+    assert rows(search.in_rounds(q, folder + "/hits", topk)) == once
+    assert len(asked) == 10 and sorted(sum(asked, [])) == list(range(150))
+    assert max(map(len, asked)) < 40
+    assert rows(search.in_rounds(q.limit(0), folder + "/hits", topk)) == []  # no hits of an earlier search
+
+
+def test_questions_with_a_folder_are_searched_in_rounds(spark, folder, monkeypatch):
+    v, q = frames(spark, list(enumerate(random_vectors(90, 8, 33))), list(enumerate(random_vectors(60, 8, 34))))
+    once = rows(search.search_questions(v, q, lambda df: df, 3))
+    monkeypatch.setattr(search, "QUESTION_BLOCK_BYTES", 21 * 128 * 16 // 15)
+    searched, topk = [], search.cosine_topk
+    monkeypatch.setattr(search, "cosine_topk", lambda v, some, *rest: searched.append(some.count()) or topk(v, some, *rest))
+    assert rows(search.search_questions(v, q, lambda df: df, 3, folder=folder)) == once
+    assert len(searched) == 3 and sum(searched) == 60

@@ -1,6 +1,8 @@
 import os
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from reviewloom.operators import reviews
 from reviewloom.sources import tables
@@ -134,3 +136,34 @@ def test_interleaved_bits(spark):
 
     row = spark.sql("SELECT 5 AS a, 3 AS b").select(tables.interleaved([F.col("a"), F.col("b")], 3)).first()
     assert row[0] == 0b011011
+
+
+def shuffle_files(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {os.path.join(root, f) for d in dirs for root, _, files in os.walk(str(d)) for f in files if f.startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, folder):
+    """They stayed until the driver collected garbage, so those of several steps lay on disk at once."""
+    df = spark.range(5000).selectExpr("id % 7 AS a", "id").repartition(5).groupBy("a").count()
+    before = shuffle_files(spark)
+    df.write.parquet(folder + "/plain")
+    assert shuffle_files(spark) - before
+    before = shuffle_files(spark)
+    tables.write_table(df, folder + "/t", partition_by=["a"])
+    tables.write_table(df, folder + "/t", partition_by=["a"], append=True)
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:  # Spark removes them in the background
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert sorted(map(tuple, spark.read.parquet(folder + "/t").groupBy("a", "count").agg(F.count("*")).collect())) == sorted(
+        (r["a"], r["count"], 2) for r in df.collect())
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert spark.conf.get(key) == "false"
+    spark.conf.set(key, "false")
+    try:
+        with tables.shuffles_removed(spark):
+            assert spark.conf.get(key) == "true"
+        assert spark.conf.get(key) == "false"
+    finally:
+        spark.conf.unset(key)
