@@ -221,3 +221,21 @@ def test_a_question_is_sent_once_to_a_group_of_blocks(spark, folder, monkeypatch
 def test_groups_of_blocks_hold_so_many_bytes():
     bounds = pruned.Bounds(np.arange(-1, 5), np.array([3, 4, 2, 9, 1, 1]), np.zeros((6, 1)), np.zeros((6, 1)))
     assert bounds.groups(10, 70).tolist() == [0, 0, 1, 2, 3, 3]
+
+
+def test_pruned_search_in_rounds(spark, folder, monkeypatch):
+    """Each step met all questions at once, so its shuffle grew with questions times groups of blocks."""
+    met, vectors = [], grouped(spark)
+
+    def counted(v, probing, *rest):
+        met.append(probing.select("question_id").distinct().count())
+        return search.meet(v, probing, *rest)
+
+    questions = asked_of(vectors).where("exists(embedding, x -> x <> 0)")
+    n = questions.count()
+    held = questions.agg(F.sum(search.list_bytes("embedding"))).first()[0]
+    whole = rows_of(searched(spark, vectors, questions, folder + "/one"))
+    monkeypatch.setattr(search, "QUESTION_BLOCK_BYTES", -(-held // 3) * 16 // 15 + 1)
+    monkeypatch.setattr(pruned, "meet", counted)
+    assert rows_of(searched(spark, vectors, questions, folder + "/three")) == whole
+    assert len(met) == 6 and sum(met[::2]) == n and max(met) < n
