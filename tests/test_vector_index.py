@@ -235,7 +235,7 @@ def test_pruned_search_in_rounds(spark, folder, monkeypatch):
     n = questions.count()
     held = questions.agg(F.sum(search.list_bytes("embedding"))).first()[0]
     whole = rows_of(searched(spark, vectors, questions, folder + "/one"))
-    monkeypatch.setattr(search, "QUESTION_BLOCK_BYTES", -(-held // 3) * 16 // 15 + 1)
+    monkeypatch.setattr(search, "QUESTION_BLOCK_BYTES", -(-held // 9) * 16 // 15 + 1)
     monkeypatch.setattr(pruned, "meet", counted)
     assert rows_of(searched(spark, vectors, questions, folder + "/three")) == whole
     assert len(met) == 6 and sum(met[::2]) == n and max(met) < n
